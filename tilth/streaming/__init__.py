@@ -1,0 +1 @@
+"""Intentionally empty: all sources are files read as a whole, in batch."""
