@@ -7,29 +7,40 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+_TYPES = {
+    "timestamp_ntz": T.TimestampNTZType(),
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+}
 
 
-READINGS_LONG = _struct(
+def struct(text: str) -> T.StructType:
+    """``name type, ...`` to a schema, without needing a session."""
+    fields = [part.split() for part in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
+
+
+READINGS_LONG = struct(
     "date timestamp_ntz, sensor string, value double, station string, depth string,"
     " mean_airt double, mean_sst double"
 )
 
-READINGS = _struct(
+READINGS = struct(
     "date timestamp_ntz, station string, depth string, mean_sst double, mean_airt double,"
     " ssm double, sst double, airt double, prcp double, year int, doy int, depth_cm int,"
     " bulk double, sand double, silt double, clay double, classification string"
 )
 
-SCENES = _struct(
+SCENES = struct(
     "date timestamp_ntz, op int, year int, doy int, station string,"
     " angle double, vv double, vh double, lc string"
 )
 
-PIXELS = _struct("scene string, band string, row bigint, col bigint, v double")
+PIXELS = struct("scene string, band string, row bigint, col bigint, v double")
 
-BOUNDS = _struct("lc string, param string, lo double, seed double, hi double")
+BOUNDS = struct("lc string, param string, lo double, seed double, hi double")
 
 #: parameters fitted by the inversion, in the order used for tie-breaking
 FIT_PARAMS = ("c", "s", "l", "w")

@@ -42,7 +42,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
             F.struct(
                 F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("n")
             ).alias("at"),
-            F.replace(F.col("value"), F.lit("﻿"), F.lit("")).alias("line"),
+            F.replace(F.col("value"), F.lit("\ufeff"), F.lit("")).alias("line"),
         )
     )
     return lines.filter(F.trim("line") != "")

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tilth.operators.inversion import derive_bounds, invert_once, merge_bounds
-from tilth.schemas import BOUNDS, conform
+from tilth.operators.inversion import derive_bounds, merge_bounds
+from tilth.schemas import BOUNDS, conform, struct
 
 
 def _read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -35,8 +35,8 @@ def absent_stations(df: DataFrame, existing: DataFrame) -> DataFrame:
 def write_new_stations(df: DataFrame, path: str) -> None:
     """Append the stations not yet below ``path``, one partition folder per station.
 
-    Present stations are read from the folder names alone. A crowded station is
-    written by many tasks, each to its own file.
+    Which stations are present is read from the partition values, with no data
+    column. A crowded station is written by many tasks, each to its own file.
     """
     spark = df.sparkSession
     existing = _read_or_none(spark, path)
@@ -115,7 +115,7 @@ class IterationStore:
 
     def latest(self, at_most: int) -> int | None:
         """Highest finished pass not above ``at_most``."""
-        passes = _read_or_none(self.spark, f"{self.folder}/passes", T.StructType.fromDDL("iteration int"))
+        passes = _read_or_none(self.spark, f"{self.folder}/passes", struct("iteration int"))
         if passes is None:
             return None
         return passes.filter(F.col("iteration") <= at_most).agg(F.max("iteration")).first()[0]
@@ -145,36 +145,6 @@ def attach_manifest(metrics: DataFrame, manifest: DataFrame | None) -> DataFrame
     return metrics.crossJoin(manifest.limit(1).select(*columns))
 
 
-def iterative_refinement(
-    pheno: DataFrame,
-    height: DataFrame,
-    bounds: DataFrame,
-    iterations: int,
-    store: IterationStore,
-    resume: bool = True,
-    f_ghz: float = 5.4,
-    model: str = "SPM",
-    levels: int = 3,
-    refinements: int = 1,
-) -> DataFrame:
-    """Passes over the same input, each within the bounds the pass before it found.
-
-    Every pass is written and read back, which cuts the lineage and lets a
-    later run resume after the last finished pass. Returns the last result.
-    """
-    if iterations < 1:
-        raise ValueError("iterations must be at least 1")
-    results, done = None, store.latest(iterations) if resume else None
-    base, current = bounds, bounds
-    if done is not None:
-        results, current = store.restore(done, base)
-    for i in range((done or 0) + 1, iterations + 1):
-        results = store.write(i, invert_once(pheno, height, current, f_ghz, model, levels, refinements))
-        current = store.write_bounds(i, derive_bounds(results, current))
-        store.finish(i, iterations)
-    return results
-
-
 # -- models ----------------------------------------------------------------
 
 
