@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tilth.plans import queries_readings, queries_scenes  # noqa: F401
+from tilth.plans import queries_fit, queries_readings, queries_scenes  # noqa: F401
 from tilth.plans.registry import ORACLES, QUERIES  # noqa: F401
