@@ -6,6 +6,8 @@ Powers are linear, lengths in metres, angles in degrees, frequency in GHz.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,65 +56,92 @@ def soil_permittivity(
     return F.when(mixed > 0, F.pow(mixed, F.lit(1.0 / DOBSON_ALPHA)))
 
 
-def spm_gain(eps: Column, theta_deg: Column, f_ghz: float) -> Column:
-    """The part of first-order small-perturbation vv backscatter free of roughness."""
+class SurfaceModel(NamedTuple):
+    """A vv backscatter model in two parts, so that a grid over (s, length) repeats little.
+
+    ``terms`` are columns free of roughness; ``power`` combines them with s and
+    the correlation length.
+    """
+
+    terms: Callable[[Column, Column, float], dict[str, Column]]
+    power: Callable[[Column, Column, dict[str, Column]], Column]
+
+
+def _spm_terms(eps: Column, theta_deg: Column, f_ghz: float) -> dict[str, Column]:
     k = wavenumber(f_ghz)
     cos, sin = F.cos(F.radians(theta_deg)), F.sin(F.radians(theta_deg))
     root = F.sqrt(eps - sin * sin)
     alpha = (eps - 1.0) * (sin * sin - eps * (F.lit(1.0) + sin * sin)) / F.pow(eps * cos + root, F.lit(2.0))
-    return F.lit(8.0 * k**4) * F.pow(cos, F.lit(4.0)) * alpha * alpha
+    return {
+        "gain": F.lit(8.0 * k**4) * F.pow(cos, F.lit(4.0)) * alpha * alpha,
+        "twice_k_sin": F.lit(2.0 * k) * sin,
+    }
 
 
-def spm_roughness(s: Column, length: Column, theta_deg: Column, f_ghz: float) -> Column:
-    """Its roughness part for an exponential correlation function."""
-    q = F.lit(2.0 * wavenumber(f_ghz)) * F.sin(F.radians(theta_deg)) * length
-    return s * s * length * length / F.pow(F.lit(1.0) + q * q, F.lit(1.5))
+def _spm_power(s: Column, length: Column, at: dict[str, Column]) -> Column:
+    q = at["twice_k_sin"] * length
+    return at["gain"] * s * s * length * length / F.pow(F.lit(1.0) + q * q, F.lit(1.5))
 
 
-def soil_spm(s: Column, length: Column, eps: Column, theta_deg: Column, f_ghz: float) -> Column:
-    """First-order small-perturbation vv backscatter (e.g. Ulaby et al. 1986)."""
-    return spm_gain(eps, theta_deg, f_ghz) * spm_roughness(s, length, theta_deg, f_ghz)
-
-
-def soil_oh1992(s: Column, length: Column, eps: Column, theta_deg: Column, f_ghz: float) -> Column:
-    """Semi-empirical vv backscatter of Oh et al. 1992; ``length`` is not used."""
-    ks = F.lit(wavenumber(f_ghz)) * s
+def _oh_terms(eps: Column, theta_deg: Column, f_ghz: float) -> dict[str, Column]:
     theta = F.radians(theta_deg)
-    cos, sin = F.cos(theta), F.sin(theta)
-    n = F.sqrt(eps)
-    normal = F.pow((F.lit(1.0) - n) / (F.lit(1.0) + n), F.lit(2.0))
+    cos, sin, n = F.cos(theta), F.sin(theta), F.sqrt(eps)
     root = F.sqrt(eps - sin * sin)
+    normal = F.pow((F.lit(1.0) - n) / (F.lit(1.0) + n), F.lit(2.0))
     horizontal = F.pow((cos - root) / (cos + root), F.lit(2.0))
     vertical = F.pow((eps * cos - root) / (eps * cos + root), F.lit(2.0))
-    ratio = F.lit(1.0) - F.pow(theta * (2.0 / math.pi), F.lit(1.0) / (F.lit(3.0) * normal)) * F.exp(-ks)
-    gain = F.lit(0.7) * (F.lit(1.0) - F.exp(F.lit(-0.65) * F.pow(ks, F.lit(1.8))))
-    return gain * F.pow(cos, F.lit(3.0)) / ratio * (vertical + horizontal)
+    return {
+        "k": F.lit(wavenumber(f_ghz)),
+        "shape": F.lit(0.7) * F.pow(cos, F.lit(3.0)) * (vertical + horizontal),
+        "slope": F.pow(theta * (2.0 / math.pi), F.lit(1.0) / (F.lit(3.0) * normal)),
+    }
 
 
-def soil_dubois1995(s: Column, length: Column, eps: Column, theta_deg: Column, f_ghz: float) -> Column:
-    """Empirical vv backscatter of Dubois et al. 1995; ``length`` is not used."""
+def _oh_power(s: Column, length: Column, at: dict[str, Column]) -> Column:
+    ks = at["k"] * s
+    rise = F.lit(1.0) - F.exp(F.lit(-0.65) * F.pow(ks, F.lit(1.8)))
+    return at["shape"] * rise / (F.lit(1.0) - at["slope"] * F.exp(-ks))
+
+
+def _dubois_terms(eps: Column, theta_deg: Column, f_ghz: float) -> dict[str, Column]:
     theta = F.radians(theta_deg)
     cos, sin, tan = F.cos(theta), F.sin(theta), F.tan(theta)
     wavelength_cm = 100.0 * LIGHT_SPEED_M_PER_S / (f_ghz * 1e9)
-    k = wavenumber(f_ghz)
-    return (
-        F.lit(10.0**-2.35)
+    return {
+        "shape": F.lit(10.0**-2.35 * wavelength_cm**0.7)
         * F.pow(cos, F.lit(3.0))
         / F.pow(sin, F.lit(3.0))
-        * F.pow(F.lit(10.0), F.lit(0.046) * eps * tan)
-        * F.pow(F.lit(k) * s * sin * sin * sin, F.lit(1.1))
-        * F.lit(wavelength_cm**0.7)
-    )
+        * F.pow(F.lit(10.0), F.lit(0.046) * eps * tan),
+        "k_sin3": F.lit(wavenumber(f_ghz)) * sin * sin * sin,
+    }
+
 
+def _dubois_power(s: Column, length: Column, at: dict[str, Column]) -> Column:
+    return at["shape"] * F.pow(at["k_sin3"] * s, F.lit(1.1))
 
-SURFACE_MODELS = {"SPM": soil_spm, "OH1992": soil_oh1992, "DUBOIS1995": soil_dubois1995}
+
+#: first-order small perturbation with an exponential correlation function (Ulaby et al. 1986),
+#: and the empirical models of Oh et al. 1992 and Dubois et al. 1995, which do not use the length
+SURFACE_MODELS = {
+    "SPM": SurfaceModel(_spm_terms, _spm_power),
+    "OH1992": SurfaceModel(_oh_terms, _oh_power),
+    "DUBOIS1995": SurfaceModel(_dubois_terms, _dubois_power),
+}
+
+
+def soil_backscatter(
+    model: str, s: Column, length: Column, eps: Column, theta_deg: Column, f_ghz: float
+) -> Column:
+    """vv backscatter power of bare soil."""
+    surface = SURFACE_MODELS[model]
+    return surface.power(s, length, surface.terms(eps, theta_deg, f_ghz))
 
 
-def canopy_transmission(c: Column, rvi: Column, depth: Column, theta_deg: Column) -> Column:
-    """Two-way transmission of a canopy of extinction c * sqrt(rvi)."""
-    return F.exp(F.lit(-2.0) * c * F.sqrt(rvi) * depth / F.cos(F.radians(theta_deg)))
+def canopy_path(rvi: Column, depth: Column, theta_deg: Column) -> Column:
+    """Two-way path of extinction through a canopy, per unit of c (extinction is c * sqrt(rvi))."""
+    return F.lit(-2.0) * F.sqrt(rvi) * depth / F.cos(F.radians(theta_deg))
 
 
-def canopy_backscatter(w: Column, transmission: Column, theta_deg: Column) -> Column:
-    """Single-scattering return of the canopy itself (water-cloud form)."""
-    return F.lit(CANOPY_ALBEDO_FACTOR) * w * F.cos(F.radians(theta_deg)) * (F.lit(1.0) - transmission)
+def canopy_gain(theta_deg: Column) -> Column:
+    """Single-scattering gain of the canopy (water-cloud form): its return is w * gain * (1 - T)."""
+    return F.lit(CANOPY_ALBEDO_FACTOR) * F.cos(F.radians(theta_deg))

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tilth.functions.columns import db_to_power, power_to_db
 from tilth.functions.physics import (
     SURFACE_MODELS,
-    canopy_backscatter,
-    canopy_transmission,
+    canopy_gain,
+    canopy_path,
+    soil_backscatter,
     soil_permittivity,
 )
 from tilth.operators.lookup import open_segments
@@ -101,54 +102,50 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _steps(lo: Column, hi: Column, levels: int) -> Column:
+def _axis(lo: Column, hi: Column, levels: int) -> Column:
     return F.array(*[lo + (hi - lo) * F.lit(i / (levels - 1)) for i in range(levels)])
 
 
-def _best_cell(
-    axes: dict[str, Column], soil: Callable, through: Callable, own: Callable, vv: Column
-) -> Column:
-    """Grid cell with the smallest squared misfit, as ``struct(cost, c, s, l, w)``.
+def _best_cell(axes: dict[str, Column], soil: Callable[[Column, Column], Column], at: dict[str, Column]) -> Column:
+    """``struct(cell, misfit)`` of the grid cell whose simulated power is nearest to the observed.
 
-    The soil term depends on (s, l) alone and the canopy term on (c, w) alone,
-    so each is evaluated on its own small grid; only the cheap combination runs
-    over all cells. Equal costs go to the smaller c, then s, l, w.
+    The soil term depends on (s, l) alone and the canopy terms on (c, w) alone,
+    so each is evaluated on its own small grid; only a product, a sum and a
+    difference run over all cells. Cells are numbered in (c, s, l, w) order and
+    the first of equals wins.
     """
-    soils = F.flatten(
-        F.transform(
-            axes["s"],
-            lambda s: F.transform(
-                axes["l"], lambda l: F.struct(s.alias("s"), l.alias("l"), soil(s, l).alias("power"))
+    soils = F.flatten(F.transform(axes["s"], lambda s: F.transform(axes["l"], lambda l: soil(s, l))))
+    canopies = F.transform(
+        axes["c"],
+        lambda c: _let(
+            F.exp(at["path"] * c),
+            lambda t: F.struct(
+                t.alias("through"),
+                F.transform(axes["w"], lambda w: w * at["gain"] * (F.lit(1.0) - t)).alias("own"),
             ),
-        )
-    )
-    canopies = F.flatten(
-        F.transform(
-            axes["c"],
-            lambda c: _let(
-                through(c),
-                lambda t: F.transform(
-                    axes["w"],
-                    lambda w: F.struct(c.alias("c"), w.alias("w"), t.alias("through"), own(w, t).alias("own")),
-                ),
-            ),
-        )
+        ),
     )
 
-    def cell(a: Column, b: Column) -> Column:
-        misfit = vv - (a["power"] * b["through"] + b["own"])
-        return F.struct(
-            (misfit * misfit).alias("cost"),
-            b["c"].alias("c"),
-            a["s"].alias("s"),
-            a["l"].alias("l"),
-            b["w"].alias("w"),
+    def misfits(powers: Column) -> Column:
+        return F.flatten(
+            F.flatten(
+                F.transform(
+                    canopies,
+                    lambda k: F.transform(
+                        powers,
+                        lambda p: F.transform(
+                            k["own"], lambda own: F.abs(at["vv_p"] - (p * k["through"] + own))
+                        ),
+                    ),
+                )
+            )
         )
 
-    return _let(
-        canopies,
-        lambda cs: F.array_min(F.transform(soils, lambda a: F.array_min(F.transform(cs, lambda b: cell(a, b))))),
-    )
+    def first_least(m: Column) -> Column:
+        least = F.array_min(m)
+        return F.struct((F.array_position(m, least) - 1).cast("int").alias("cell"), least.alias("misfit"))
+
+    return _let(soils, lambda powers: _let(misfits(powers), first_least))
 
 
 def lut_inversion(
@@ -160,56 +157,73 @@ def lut_inversion(
 ) -> DataFrame:
     """Fit c, s, l, w by a grid search between their bounds, d held at the crop height.
 
-    Minimises (vv_p - vv_sim)^2 with vv_sim = soil(s, l) T + canopy(w, T),
-    T the canopy's two-way transmission. The first grid has ``levels`` steps
-    per parameter between the bounds; each refinement lays the same number of
-    steps over one coarse step around the best cell, kept inside the bounds.
-    Each observation is solved from its own row: no rows are multiplied and
-    nothing is shuffled. Rows lacking an input get NULL parameters.
-    Adds ``d, c, s, l, w, cost`` and ``grid_step`` (the last relative step).
+    Minimises |vv_p - vv_sim| with vv_sim = soil(s, l) T + w gain (1 - T), T the
+    canopy's two-way transmission. The first grid has ``levels`` steps per
+    parameter between the bounds; each refinement lays the same number of steps
+    over one coarse step around the best cell, kept inside the bounds. Each
+    observation is solved from its own row: no rows are multiplied and nothing
+    is shuffled. Rows lacking an input get NULL parameters.
+    Adds ``d, c, s, l, w, cost`` (squared misfit) and ``grid_step`` (the last
+    step as a share of the bounds' range).
     """
     if levels < 2:
         raise ValueError("levels must be at least 2")
     surface = SURFACE_MODELS[model]
-    theta, rvi, depth, eps = F.col("angle"), F.col("rvi"), F.col("height"), F.col("eps")
-
-    def soil(s: Column, length: Column) -> Column:
-        return surface(s, length, eps, theta, f_ghz)
-
-    def through(c: Column) -> Column:
-        return canopy_transmission(c, rvi, depth, theta)
-
-    def own(w: Column, t: Column) -> Column:
-        return canopy_backscatter(w, t, theta)
+    theta = F.col("angle")
+    terms = surface.terms(F.col("eps"), theta, f_ghz)
+    bound_columns = [f"{p}_{side}" for p in FIT_PARAMS for side in ("lo", "hi")]
+    ready = F.lit(True)
+    for c in ["vv_p", "angle", "rvi", "height", "eps", *bound_columns]:
+        ready = ready & F.col(c).isNotNull()
 
-    def best(axes: dict[str, Column]) -> Column:
-        return F.when(F.col("__ready"), _best_cell(axes, soil, through, own, F.col("vv_p")))
+    out = df.withColumns(
+        {
+            "__ready": ready,
+            "__path": canopy_path(F.col("rvi"), F.col("height"), theta),
+            "__gain": canopy_gain(theta),
+            **{f"__surface_{k}": v for k, v in terms.items()},
+            **{f"__{p}_{side}": F.col(f"{p}_{side}") for p in FIT_PARAMS for side in ("lo", "hi")},
+        }
+    )
+    at = {"vv_p": F.col("vv_p"), "path": F.col("__path"), "gain": F.col("__gain")}
+    surface_at = {k: F.col(f"__surface_{k}") for k in terms}
 
-    needed = [F.col("vv_p"), theta, rvi, depth, eps]
-    needed += [F.col(f"{p}_{side}") for p in FIT_PARAMS for side in ("lo", "hi")]
-    ready = F.lit(True)
-    for c in needed:
-        ready = ready & c.isNotNull()
-
-    lo = {p: F.col(f"{p}_lo") for p in FIT_PARAMS}
-    hi = {p: F.col(f"{p}_hi") for p in FIT_PARAMS}
-    axes = {p: _steps(lo[p], hi[p], levels) for p in FIT_PARAMS}
-    out = df.withColumn("__ready", F.coalesce(ready, F.lit(False)))
-    out = out.withColumn("__best", best(axes))
-    relative = 1.0 / (levels - 1)
-    for _ in range(refinements):
-        near = {}
-        for p in FIT_PARAMS:
-            half = (hi[p] - lo[p]) * F.lit(relative / 2.0)
-            at = F.col(f"__best.{p}")
-            near[p] = _steps(F.greatest(lo[p], at - half), F.least(hi[p], at + half), levels)
-        out = out.withColumn("__best", best(near))
+    def soil(s: Column, length: Column) -> Column:
+        return surface.power(s, length, surface_at)
+
+    relative = 1.0
+    for step in range(refinements + 1):
+        if step:
+            # one coarse step around the best cell, inside the bounds
+            out = out.withColumns(
+                {
+                    f"__{p}_{side}": pick(F.col(f"{p}_{side}"), F.col(f"__{p}") + sign * half)
+                    for p in FIT_PARAMS
+                    for half in [(F.col(f"{p}_hi") - F.col(f"{p}_lo")) * F.lit(relative / 2.0)]
+                    for side, sign, pick in (("lo", -1, F.greatest), ("hi", 1, F.least))
+                }
+            )
+        axes = {p: _axis(F.col(f"__{p}_lo"), F.col(f"__{p}_hi"), levels) for p in FIT_PARAMS}
+        best = F.when(F.col("__ready"), _best_cell(axes, soil, at))
+        # a generator of one row each: later filters on the results stay above
+        # it, where pushing them below would repeat the search
+        kept = [c for c in out.columns if c not in ("cell", "misfit")]
+        out = out.select(*kept, F.inline(F.array(best)))
+        place = {p: levels ** (len(FIT_PARAMS) - 1 - i) for i, p in enumerate(FIT_PARAMS)}
+        out = out.withColumns(
+            {
+                f"__{p}": F.col(f"__{p}_lo")
+                + (F.col(f"__{p}_hi") - F.col(f"__{p}_lo"))
+                * (F.floor(F.col("cell") / place[p]) % levels / (levels - 1))
+                for p in FIT_PARAMS
+            }
+        )
         relative /= levels - 1
     return out.select(
         *[F.col(c) for c in df.columns],
-        F.when(F.col("__ready"), depth).alias("d"),
-        *[F.col(f"__best.{p}").alias(p) for p in FIT_PARAMS],
-        F.col("__best.cost").alias("cost"),
+        F.when(F.col("__ready"), F.col("height")).alias("d"),
+        *[F.col(f"__{p}").alias(p) for p in FIT_PARAMS],
+        (F.col("misfit") * F.col("misfit")).alias("cost"),
         F.lit(relative).alias("grid_step"),
     )
 
@@ -247,7 +261,7 @@ def soil_veg_decompose(df: DataFrame, f_ghz: float = DEFAULT_F_GHZ, model: str =
     fitted = ~bare & F.col("c").isNotNull()
     for name in ("height", "k", "b"):
         out = out.withColumn(name, F.when(fitted, F.col(name)))
-    surface = SURFACE_MODELS[model](F.col("s"), F.col("l"), F.col("eps"), F.col("angle"), f_ghz)
+    surface = soil_backscatter(model, F.col("s"), F.col("l"), F.col("eps"), F.col("angle"), f_ghz)
     out = out.withColumn("__soil", F.when(broken, F.col("vv_p")).when(bare | fitted, surface))
     ground = F.col("lc").isin(*BARE_CLASSES) | broken
     out = out.withColumn(
