@@ -9,6 +9,7 @@ import math
 from collections.abc import Callable
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,15 +57,22 @@ def soil_permittivity(
     return F.when(mixed > 0, F.pow(mixed, F.lit(1.0 / DOBSON_ALPHA)))
 
 
+class ArrayMath:
+    """The functions of ``power`` for arrays."""
+
+    exp, pow = np.exp, np.power
+
+
 class SurfaceModel(NamedTuple):
     """A vv backscatter model in two parts, so that a grid over (s, length) repeats little.
 
-    ``terms`` are columns free of roughness; ``power`` combines them with s and
-    the correlation length.
+    ``terms`` are columns free of roughness; ``power(s, length, terms, m)``
+    combines them with s and the correlation length, ``m`` giving ``exp`` and
+    ``pow``: Spark's functions for columns, :class:`ArrayMath` for arrays.
     """
 
     terms: Callable[[Column, Column, float], dict[str, Column]]
-    power: Callable[[Column, Column, dict[str, Column]], Column]
+    power: Callable
 
 
 def _spm_terms(eps: Column, theta_deg: Column, f_ghz: float) -> dict[str, Column]:
@@ -78,9 +86,9 @@ def _spm_terms(eps: Column, theta_deg: Column, f_ghz: float) -> dict[str, Column
     }
 
 
-def _spm_power(s: Column, length: Column, at: dict[str, Column]) -> Column:
+def _spm_power(s, length, at, m=F):
     q = at["twice_k_sin"] * length
-    return at["gain"] * s * s * length * length / F.pow(F.lit(1.0) + q * q, F.lit(1.5))
+    return at["gain"] * s * s * length * length / m.pow(q * q + 1.0, 1.5)
 
 
 def _oh_terms(eps: Column, theta_deg: Column, f_ghz: float) -> dict[str, Column]:
@@ -97,10 +105,9 @@ def _oh_terms(eps: Column, theta_deg: Column, f_ghz: float) -> dict[str, Column]
     }
 
 
-def _oh_power(s: Column, length: Column, at: dict[str, Column]) -> Column:
+def _oh_power(s, length, at, m=F):
     ks = at["k"] * s
-    rise = F.lit(1.0) - F.exp(F.lit(-0.65) * F.pow(ks, F.lit(1.8)))
-    return at["shape"] * rise / (F.lit(1.0) - at["slope"] * F.exp(-ks))
+    return at["shape"] * (1.0 - m.exp(m.pow(ks, 1.8) * -0.65)) / (1.0 - at["slope"] * m.exp(-ks))
 
 
 def _dubois_terms(eps: Column, theta_deg: Column, f_ghz: float) -> dict[str, Column]:
@@ -116,8 +123,8 @@ def _dubois_terms(eps: Column, theta_deg: Column, f_ghz: float) -> dict[str, Col
     }
 
 
-def _dubois_power(s: Column, length: Column, at: dict[str, Column]) -> Column:
-    return at["shape"] * F.pow(at["k_sin3"] * s, F.lit(1.1))
+def _dubois_power(s, length, at, m=F):
+    return at["shape"] * m.pow(at["k_sin3"] * s, 1.1)
 
 
 #: first-order small perturbation with an exponential correlation function (Ulaby et al. 1986),
