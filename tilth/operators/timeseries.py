@@ -62,7 +62,7 @@ def fill_forward_backward(
 
 def interpolate_linear(
     df: DataFrame,
-    col: str,
+    cols: str | Sequence[str],
     by: Sequence[str] = ("station",),
     ts: str = "date",
     ids: Sequence[str] | None = None,
@@ -73,20 +73,31 @@ def interpolate_linear(
     Positions count rows, not time. Leading gaps stay, trailing gaps take the
     last reading. ``by=()`` runs over the whole table in time order.
     """
+    cols = [cols] if isinstance(cols, str) else list(cols)
     out, levels, order, helpers = with_time_blocks(df, ts, ids, block)
     out = out.withColumn("__one", F.lit(1).cast("long"))
     placed = running(out, by, levels, order, {"__pos": ("sum", "__one")})
-    placed = placed.withColumn(
-        "__known", F.when(F.col(col).isNotNull(), F.struct(F.col("__pos").alias("p"), F.col(col).alias("v")))
+    placed = placed.withColumns(
+        {
+            f"__known_{c}": F.when(
+                F.col(c).isNotNull(), F.struct(F.col("__pos").alias("p"), F.col(c).alias("v"))
+            )
+            for c in cols
+        }
     )
-    near = running(
-        placed, by, levels, order, {"__prev": ("last", "__known"), "__next": ("next", "__known")}
-    )
-    p0, v0 = F.col("__prev.p"), F.col("__prev.v")
-    p1, v1 = F.col("__next.p"), F.col("__next.v")
-    line = v0 + (v1 - v0) * F.try_divide((F.col("__pos") - p0).cast("double"), (p1 - p0).cast("double"))
-    value = F.coalesce(F.col(col), line, v0)
-    return near.select(*[value.alias(c) if c == col else F.col(c) for c in df.columns])
+    specs = {}
+    for c in cols:
+        specs[f"__prev_{c}"] = ("last", f"__known_{c}")
+        specs[f"__next_{c}"] = ("next", f"__known_{c}")
+    near = running(placed, by, levels, order, specs)
+
+    def filled(c: str) -> Column:
+        p0, v0 = F.col(f"__prev_{c}.p"), F.col(f"__prev_{c}.v")
+        p1, v1 = F.col(f"__next_{c}.p"), F.col(f"__next_{c}.v")
+        share = F.try_divide((F.col("__pos") - p0).cast("double"), (p1 - p0).cast("double"))
+        return F.coalesce(F.col(c), v0 + (v1 - v0) * share, v0)
+
+    return near.select(*[filled(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def daily_midrange(

@@ -1,4 +1,7 @@
-"""The stages from raw files to scored models."""
+"""The stages from raw files to scored models.
+
+Stages hand over written tables (see :func:`tilth.session.materialize`).
+"""
 
 from __future__ import annotations
 
@@ -11,6 +14,7 @@ from tilth.functions.columns import mean_ignoring_null, to_number
 from tilth.operators import phenology, readings, scenes, timeseries
 from tilth.operators.inversion import derive_bounds, invert_once
 from tilth.schemas import READINGS, READINGS_LONG, SCENES, conform
+from tilth.session import materialize
 from tilth.sources.csv_lines import read_scene_csv, read_station_csv
 from tilth.sources.sinks import IterationStore
 
@@ -35,7 +39,7 @@ def long_readings(wide: DataFrame) -> DataFrame:
     Midranges come from the readings as measured; filled values do not enter.
     """
     daily = timeseries.daily_midrange(wide, {"mean_airt": "airt", "mean_sst": "sst"}, ts="date")
-    filled = timeseries.fill_forward_backward(wide, ["ssm", "sst", "airt", "prcp"])
+    filled = materialize(timeseries.fill_forward_backward(wide, ["ssm", "sst", "airt", "prcp"]), "filled")
     melted = readings.melt_wide_to_long(filled)
     return conform(timeseries.attach_daily_stats(melted, daily), READINGS_LONG)
 
@@ -49,8 +53,7 @@ def load_readings(long: DataFrame, texture: DataFrame, depth: str = readings.SHA
     means = [F.first("mean_sst").alias("mean_sst"), F.first("mean_airt").alias("mean_airt")]
     keys = ["date", "station", "depth"]
     wide = readings.pivot_long_to_wide(kept, keys, MEASURES).join(kept.groupBy(*keys).agg(*means), on=keys)
-    for col in ("mean_airt", "mean_sst"):
-        wide = timeseries.interpolate_linear(wide, col)
+    wide = timeseries.interpolate_linear(materialize(wide, "wide"), ["mean_airt", "mean_sst"])
     wide = readings.calendar_columns(wide)
     return conform(readings.join_texture(wide, texture), READINGS)
 
@@ -73,8 +76,8 @@ def phenology_table(
     """Scenes with the nearest readings, degree sums, crop stage and moisture sum."""
     merged = timeseries.asof_nearest(scene_table, reading_table, tolerance_seconds=tolerance_seconds)
     merged = phenology.dropna_subset(readings.calendar_columns(merged))
-    merged = timeseries.interpolate_linear(merged, "sst", ids=ids)
-    return growth(merged, base, stages, by, ids)
+    merged = timeseries.interpolate_linear(materialize(merged, "merged"), "sst", ids=ids)
+    return growth(materialize(merged, "continuous"), base, stages, by, ids)
 
 
 def growth(
@@ -125,7 +128,7 @@ def run_to_phenology(
     spark: SparkSession, station_files: str, scene_files: str, texture: DataFrame, crop_tables: dict
 ) -> DataFrame:
     """Raw files to the phenology table."""
-    cells = read_station_csv(spark, station_files)
-    reading_table = load_readings(long_readings(wide_readings(cells)), texture)
-    scene_table = load_scenes(read_scene_csv(spark, scene_files))
+    wide = materialize(wide_readings(read_station_csv(spark, station_files)), "instants")
+    reading_table = materialize(load_readings(long_readings(wide), texture), "readings")
+    scene_table = materialize(load_scenes(read_scene_csv(spark, scene_files)), "scenes")
     return phenology_table(scene_table, reading_table, crop_tables["base"], crop_tables["stages"])

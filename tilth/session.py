@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tilth", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,3 +48,15 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the scratch folder."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write the table to the scratch folder and return it as read back.
+
+    Runs the job. Ordered operators read their input several times; cutting
+    the lineage between them keeps plans small and lets a lost executor cost
+    one stage rather than the whole chain.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -29,7 +29,7 @@ def select_datasets(
 
 def _json_files(spark: SparkSession, path: str, text: str = "json") -> DataFrame:
     """Whole JSON documents, one row each; these are hand-made parameter files."""
-    return spark.read.option("wholetext", "true").text(path).withColumnRenamed("value", text)
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", text)
 
 
 def texture_rows(documents: DataFrame, depth_cm: int = 5, json: str = "json") -> DataFrame:
