@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tilth.session import materialize
+
 
 def exact_median(
     df: DataFrame, by: Sequence[str], value: str, out: str = "median", accuracy: int = 100_000
@@ -19,13 +21,20 @@ def exact_median(
     A second pass counts what lies below the bracket and keeps, per distinct
     value, a count of what lies inside it: about 6/accuracy of the group.
     Only that sliver is ranked.
+
+    Runs the sketch's job and writes its one row per group, so that the planner
+    knows the true size: few groups are broadcast and rows stay where they are,
+    many are joined by key with skewed partitions split.
     """
     by = list(by)
     known = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("__v"))
     slack = 2.0 / accuracy
-    bracket = known.groupBy(*by).agg(
-        F.percentile_approx("__v", [0.5 - slack, 0.5 + slack], accuracy).alias("__band"),
-        F.count(F.lit(1)).alias("__n"),
+    bracket = materialize(
+        known.groupBy(*by).agg(
+            F.percentile_approx("__v", [0.5 - slack, 0.5 + slack], accuracy).alias("__band"),
+            F.count(F.lit(1)).alias("__n"),
+        ),
+        "bracket",
     )
     # NULL keys are groups too, so the join back must match them
     left, right = known.alias("x"), bracket.alias("y")
@@ -46,7 +55,10 @@ def exact_median(
     lower = F.floor((F.col("__n") + 1) / 2)
     upper = F.floor(F.col("__n") / 2) + 1
     ranked = counted.withColumn("__hi", upto).withColumn("__lo", F.col("__hi") - F.col("__k"))
-    holds = lambda r: F.when((r > F.col("__lo")) & (r <= F.col("__hi")), F.col("__v"))
+
+    def holds(rank: Column) -> Column:
+        return F.when((rank > F.col("__lo")) & (rank <= F.col("__hi")), F.col("__v"))
+
     return ranked.groupBy(*by).agg(
         ((F.max(holds(lower)) + F.max(holds(upper))) / 2.0).alias(out)
     )

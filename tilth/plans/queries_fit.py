@@ -12,7 +12,7 @@ from tilth.plans.bindings import with_tables
 from tilth.plans.pipeline import iterative_refinement
 from tilth.plans.registry import query, rounded
 from tilth.session import scratch_path
-from tilth.sources.sinks import IterationStore
+from tilth.sources.sinks import IterationStore, attach_manifest, latest_manifest
 
 # -- phenology -------------------------------------------------------------
 
@@ -474,8 +474,14 @@ def sink_iteration_checkpoint(spark, sf_dir):
     """One pass written; its bounds read back beside what the manifest says."""
     at = store(spark)
     refine(spark, sf_dir, 1, at)
-    manifest = spark.read.json(f"{at.root}/latest").select("identifier", F.col("iteration").cast("int"))
-    return rounded(spark.read.parquet(f"{at.folder}/bounds/iter=1").crossJoin(manifest))
+    bounds = attach_manifest(spark.read.parquet(f"{at.folder}/bounds/iter=1"), latest_manifest(spark, at.root))
+    return rounded(
+        bounds.select(
+            F.col("checkpoint_identifier").alias("identifier"),
+            F.col("checkpoint_iteration").cast("int").alias("iteration"),
+            *[c for c in bounds.columns if not c.startswith("checkpoint_")],
+        )
+    )
 
 
 @query(

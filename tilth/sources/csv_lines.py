@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tilth.functions.columns import to_timestamp_ntz
 from tilth.operators.readings import column_label, station_from_name
 from tilth.operators.scenes import parse_scene_key
+from tilth.session import materialize
 
 # What marks the unit row, and columns of no use in scene files.
 UNIT_ROW_MARK = "timestamp"
@@ -31,7 +32,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Non-blank lines of all ``*.csv`` below ``path``: file, place in the file, text.
 
     ``at`` orders the lines of one file: the split's offset, then the running
-    id inside the task, which is fixed by the scan's layout.
+    id inside the task. How files are packed into tasks may differ from scan
+    to scan, so the lines are written once with their places and read back
+    from there. Runs that job.
     """
     lines = (
         spark.read.option("pathGlobFilter", "*.csv")
@@ -45,7 +48,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
             F.replace(F.col("value"), F.lit("\ufeff"), F.lit("")).alias("line"),
         )
     )
-    return lines.filter(F.trim("line") != "")
+    return materialize(lines.filter(F.trim("line") != ""), "lines")
 
 
 def read_station_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -55,12 +58,17 @@ def read_station_csv(spark: SparkSession, path: str) -> DataFrame:
     ``timestamp`` is the unit row, the line above holds the names, data
     follows; columns left of that cell are ignored. A file without such a line
     contributes no rows; lines whose time does not parse are dropped.
+
+    Finding the headers runs jobs and writes their one row per file, whose size
+    the planner then knows: it is broadcast while small, and the lines of even
+    the largest file are parsed where they are read.
     """
     lines = read_lines(spark, path)
-    header = (
+    header = materialize(
         lines.filter(F.lower("line").contains(UNIT_ROW_MARK))
         .groupBy("file")
-        .agg(F.min("at").alias("unit_at"), F.min_by("line", "at").alias("unit_line"))
+        .agg(F.min("at").alias("unit_at"), F.min_by("line", "at").alias("unit_line")),
+        "headers",
     )
     # lines above the unit row are few; the nearest one has the names
     names = (
@@ -88,6 +96,7 @@ def read_station_csv(spark: SparkSession, path: str) -> DataFrame:
         )
         .select("file", "station", "unit_at", "ts_col", "labels")
     )
+    layout = materialize(layout, "layouts")
     data = (
         lines.join(layout, on="file", how="inner")
         .filter(F.col("at") > F.col("unit_at"))
@@ -107,10 +116,13 @@ def read_scene_csv(spark: SparkSession, path: str) -> DataFrame:
     """Wide scene files as ``(station, key, date, year, doy, band, op, value)`` rows.
 
     Each file has its own columns, one per acquisition, band and pass. Only
-    its first data row counts; index and geometry columns are dropped.
+    its first data row counts; index and geometry columns are dropped. Finding
+    the header lines runs a job.
     """
     lines = read_lines(spark, path)
-    header = lines.groupBy("file").agg(F.min("at").alias("head_at"), F.min_by("line", "at").alias("head"))
+    header = materialize(
+        lines.groupBy("file").agg(F.min("at").alias("head_at"), F.min_by("line", "at").alias("head")), "heads"
+    )
     first = (
         lines.join(header.select("file", "head_at"), on="file", how="inner")
         .filter(F.col("at") > F.col("head_at"))

@@ -139,10 +139,10 @@ def latest_manifest(spark: SparkSession, root: str) -> DataFrame | None:
 
 def attach_manifest(metrics: DataFrame, manifest: DataFrame | None) -> DataFrame:
     """Metrics rows with the checkpoint they were trained from; unchanged without one."""
-    if manifest is None:
+    row = manifest.first() if manifest is not None else None
+    if row is None:
         return metrics
-    columns = [F.col(c).alias(f"checkpoint_{c}") for c in ("identifier", "iteration")]
-    return metrics.crossJoin(manifest.limit(1).select(*columns))
+    return metrics.withColumns({f"checkpoint_{c}": F.lit(row[c]) for c in ("identifier", "iteration")})
 
 
 # -- models ----------------------------------------------------------------
