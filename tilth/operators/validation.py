@@ -131,23 +131,29 @@ def distinct_keys_priority(*tables: DataFrame, priority=KEY_PRIORITY) -> DataFra
     The choice is made inside the query, on the distinct keys.
     """
     every = sorted({c for columns, _ in priority for c in columns})
-    levels = []
-    for level, (columns, required) in enumerate(priority):
-        for table in tables:
+
+    def key_sets(table: DataFrame) -> list[Column]:
+        """The row's key in every set the table and the row can serve, else NULL."""
+        out = []
+        for level, (columns, required) in enumerate(priority):
             if all(c in table.columns for c in columns):
-                keep = table.dropna(subset=list(required))
-                levels.append(
-                    keep.select(
-                        F.lit(level).alias("level"),
-                        *[
-                            (F.col(c) if c in columns else F.lit(None)).cast("string").alias(c)
-                            for c in every
-                        ],
-                    ).distinct()
+                present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required])
+                key = F.struct(
+                    F.lit(level).alias("level"),
+                    *[(F.col(c) if c in columns else F.lit(None)).cast("string").alias(c) for c in every],
                 )
-    if not levels:
+                out.append(F.when(present, key))
+        return out
+
+    parts = []
+    for table in tables:
+        sets = key_sets(table)
+        if sets:
+            own = table.select(*[c for c in every if c in table.columns]).distinct()
+            parts.append(own.select(F.inline(F.filter(F.array(*sets), lambda k: k.isNotNull()))))
+    if not parts:
         raise KeyError("no key columns in any table")
-    keys = reduce(DataFrame.unionByName, levels).distinct()
+    keys = reduce(DataFrame.unionByName, parts).distinct()
     best = keys.agg(F.min("level").alias("level"))
     return keys.join(best, on="level", how="inner").select("level", *every).orderBy(*every)
 
