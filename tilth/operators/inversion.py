@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tilth.functions import physics
 from tilth.functions.columns import db_to_power, power_to_db
 from tilth.functions.physics import (
     SURFACE_MODELS,
@@ -123,6 +126,11 @@ def _first_least(vv, path, gain, axes, soil):
     return best
 
 
+# the search is sent to the workers whole, so they need not have this package
+cloudpickle.register_pickle_by_value(physics)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _search(model: str, term_names: Sequence[str], levels: int, refinements: int) -> Callable:
     """The coarse-to-fine search over one Arrow batch of observations."""
     power = SURFACE_MODELS[model].power
@@ -176,7 +184,7 @@ def lut_inversion(
     observation is solved from its own row: no rows are multiplied and nothing
     is shuffled. Everything that does not depend on the cell is a column; the
     loop over cells runs on Arrow batches, since nested higher-order functions
-    are interpreted per cell (measured: some thirty times the time).
+    are interpreted cell by cell (60,000 rows in one task: 7.7 s against 1.3 s).
     Rows lacking an input get NULL parameters. Adds ``d, c, s, l, w, cost``
     (squared misfit) and ``grid_step`` (last step as a share of the range).
     """
