@@ -4,17 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tilth.llm.common import table
+from tilth.llm import langid, line_rules, mixing, packing, token_files
+from tilth.llm.common import table, written
 from tilth.llm.simhash import simhash_classes
 
+BPE, BPE_RANKS, MULTI = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as flat token files, and each one's tokens counted between end marks."""
+    store = written(token_files.write_tokens(table(spark, sf_dir, "documents"), BPE, BPE_RANKS), "token-files")
+    return token_files.token_counts(store)
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.line_first(table(spark, sf_dir, "documents")).drop("cleaned")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), BPE, BPE_RANKS))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = langid.held_out(F.col("doc_id"), 4, 2)
+    models = langid.learn(docs.where(~held_out), MULTI)
+    return langid.predict(docs, models, MULTI).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_counts": op3_token_counts,
+    "op4_source_mix": op4_source_mix,
+    "op6_line_rules": op6_line_rules,
+    "op7_packing": op7_packing,
+    "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
 }
 ORACLES: dict[str, str] = {}
