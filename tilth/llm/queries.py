@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.llm import langid, line_rules, mixing, packing, token_files
+from tilth.llm import caps, langid, line_rules, mixing, packing, suffix_dedup, token_files
 from tilth.llm.common import table, written
 from tilth.llm.simhash import simhash_classes
 
 BPE, BPE_RANKS, MULTI = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as flat token files, and each one's tokens counted between end marks."""
     store = written(token_files.write_tokens(table(spark, sf_dir, "documents"), BPE, BPE_RANKS), "token-files")
@@ -33,6 +37,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), BPE, BPE_RANKS))
 
 
+def op8_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.cosine_classes(table(spark, sf_dir, "embeddings"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = langid.held_out(F.col("doc_id"), 4, 2)
@@ -45,10 +53,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_source_mix": op4_source_mix,
     "op6_line_rules": op6_line_rules,
     "op7_packing": op7_packing,
+    "op8_cap_filters": op8_cap_filters,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
 }
