@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilth.llm.common import raw, written
+from tilth.llm.common import raw
 from tilth.session import scratch_path
 
 BLOCK = 4 << 20
@@ -104,6 +104,19 @@ class Block:
             at += n
 
 
+def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Slices of equal buckets of a sorted array."""
+    cuts = np.flatnonzero(np.diff(bucket)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(bucket)]):
+        if b > a:
+            yield int(bucket[a]), slice(a, b)
+
+
+def hash_bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each 64-bit hash; rises with the hash."""
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
 Asks = Iterable[tuple[int, bytes]]
 
 
@@ -148,7 +161,6 @@ def answers(asked: DataFrame, fn: Callable[[int, list[bytes]], Iterable[bytes |
 
 
 def with_answers(blocks: DataFrame, told: DataFrame, name: str) -> DataFrame:
-    """The blocks with one more column, their answers; runs the job that finds them."""
-    kept = written(told, name)
-    own = kept.groupBy("block").agg(F.collect_list(F.struct("bucket", "blob")).alias(name))
+    """The blocks with one more column: the answers each got, from a written table."""
+    own = told.groupBy("block").agg(F.collect_list(F.struct("bucket", "blob")).alias(name))
     return blocks.join(own.hint("merge"), "block", "left").select(*blocks.columns, name)

@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.llm import caps, langid, line_rules, mixing, packing, suffix_dedup, token_files
+from tilth.llm import caps, langid, line_rules, mixing, ngram_trie, packing, suffix_dedup, token_files
 from tilth.llm.common import table, written
 from tilth.llm.simhash import simhash_classes
 
 BPE, BPE_RANKS, MULTI = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"))
 
 
+def op1_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = langid.held_out(F.col("doc_id"), 7, 2)
+    docs = table(spark, sf_dir, "documents").withColumn("train", ~held_out)
+    return ngram_trie.lm_scores(docs, "train").withColumn("held_out", held_out)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -53,6 +59,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_trie": op1_ngram_trie,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_source_mix": op4_source_mix,

@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilth.llm.blocks import Block, answers, asks, each_block, expand, squeeze, with_answers, write_blocks
-from tilth.llm.common import pick
+from tilth.llm.blocks import Block, answers, asks, by_bucket, each_block, expand, hash_bucket, squeeze, with_answers, write_blocks
+from tilth.llm.common import pick, written
 from tilth.llm.words import span_hash
 
 LENGTH = 50
@@ -87,18 +87,6 @@ def runs(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return key[some], start[some], (stop - start)[some], doc[some]
 
 
-def _split(key: np.ndarray, buckets: int) -> np.ndarray:
-    return ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-
-
-def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
-    """Slices of equal buckets of a sorted array."""
-    cuts = np.flatnonzero(np.diff(bucket)) + 1
-    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(bucket)]):
-        if b > a:
-            yield int(bucket[a]), slice(a, b)
-
-
 def _distinct_keys(block: Block) -> tuple:
     """The block's runs, its distinct keys, each run's key number, and whether a key is in two documents here."""
     key, start, count, doc = runs(block.text, block.lengths)
@@ -114,7 +102,7 @@ def ask_keys(buckets: int):
     def fn(block: Block) -> Iterable[tuple[int, bytes]]:
         _, _, _, distinct, _, twice = _distinct_keys(block)
         short = distinct >> np.uint64(16)  # 48 bits; a chance hit only sorts a run for nothing
-        for bucket, s in _by_bucket(_split(distinct, buckets)):
+        for bucket, s in by_bucket(hash_bucket(distinct, buckets)):
             yield bucket, squeeze(np.diff(short[s], prepend=np.uint64(0)), twice[s].astype(np.uint8))
 
     return fn
@@ -150,7 +138,7 @@ def _chosen(block: Block, told: list[tuple[int, bytes]], buckets: int) -> tuple:
     start, count, doc, distinct, place, _ = _distinct_keys(block)
     hit = np.zeros(len(distinct), bool)
     said = dict(told)
-    for bucket, s in _by_bucket(_split(distinct, buckets)):
+    for bucket, s in by_bucket(hash_bucket(distinct, buckets)):
         if bucket in said:
             n = s.stop - s.start
             hit[s] = np.unpackbits(expand(said[bucket])[0], count=n).astype(bool)
@@ -167,14 +155,14 @@ def _chosen(block: Block, told: list[tuple[int, bytes]], buckets: int) -> tuple:
     piece = np.empty(len(order), np.int64)
     piece[order] = np.cumsum(differ) - 1
     shown = order[differ]  # the run with the smallest document of each piece
-    return start, count, doc, piece, _split(distinct[place[shown]], buckets), shown
+    return start, count, doc, piece, hash_bucket(distinct[place[shown]], buckets), shown
 
 
 def ask_pieces(buckets: int):
     def fn(block: Block, told: list[tuple[int, bytes]]) -> Iterable[tuple[int, bytes]]:
         start, count, doc, _, bucket, shown = _chosen(block, told, buckets)
         buffer = np.frombuffer(block.text, np.uint8)
-        for number, s in _by_bucket(bucket):
+        for number, s in by_bucket(bucket):
             some = shown[s]
             size = count[some] + LENGTH - 1
             flat = np.arange(size.sum()) + np.repeat(start[some] - np.cumsum(size) + size, size)
@@ -303,7 +291,7 @@ def cut(buckets: int, with_text: bool):
         size = count[shown]
         bits = np.zeros(int(size.sum()), bool)
         base = np.cumsum(size) - size
-        for number, s in _by_bucket(bucket):
+        for number, s in by_bucket(bucket):
             a, b = int(base[s.start]), int(base[s.stop - 1] + size[s.stop - 1])
             bits[a:b] = np.unpackbits(expand(said[number])[0], count=b - a)
         c = count[part]
@@ -347,7 +335,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = write_blocks(source)
     size = blocks.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(4, 2 * size // SHARE)
-    blocks = with_answers(blocks, answers(asks(blocks, ask_keys(buckets)), answer_keys), "keys")
-    blocks = with_answers(blocks, answers(asks(blocks, ask_pieces(buckets)), answer_pieces), "pieces")
+    blocks = with_answers(blocks, written(answers(asks(blocks, ask_keys(buckets)), answer_keys), "keys"), "keys")
+    blocks = with_answers(blocks, written(answers(asks(blocks, ask_pieces(buckets)), answer_pieces), "pieces"), "pieces")
     last = "kept_text string" if with_text else "kept_sha256 string"
     return each_block(blocks, cut(buckets, with_text), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
