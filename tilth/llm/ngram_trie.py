@@ -26,7 +26,7 @@ from tilth.llm.blocks import Block, answers, asks, by_bucket, each_block, expand
 from tilth.llm.common import pick, written
 from tilth.llm.words import LOWER, joined, span_hash, word_spans
 
-MU = 4.0
+MU = 100.0
 #: Compressed input bytes for each bucket of words and of pairs.
 SHARE = 4 << 20
 END = np.uint64(1)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.llm import caps, langid, line_rules, mixing, ngram_trie, packing, suffix_dedup, token_files
+from tilth.llm import caps, cotrain, langid, line_rules, mixing, ngram_trie, packing, suffix_dedup, token_files
 from tilth.llm.common import table, written
 from tilth.llm.simhash import simhash_classes
 
@@ -35,6 +35,10 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op5_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_first(table(spark, sf_dir, "documents")).drop("cleaned")
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_source_mix": op4_source_mix,
+    "op5_cotraining": op5_cotraining,
     "op6_line_rules": op6_line_rules,
     "op7_packing": op7_packing,
     "op8_cap_filters": op8_cap_filters,

@@ -339,3 +339,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = with_answers(blocks, written(answers(asks(blocks, ask_pieces(buckets)), answer_pieces), "pieces"), "pieces")
     last = "kept_text string" if with_text else "kept_sha256 string"
     return each_block(blocks, cut(buckets, with_text), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The documents, all columns, with the text that is kept; runs jobs.
+
+    ``n_chars``, where there is one, counts the characters left. A null text stays null. Ids
+    are taken to be unique; rows without one go.
+    """
+    kept = remove_repeats(docs, with_text=True).where("n_removed > 0").select(F.col("doc_id").alias("__doc"), F.col("kept_text").alias("__text"))
+    joined = docs.where("doc_id is not null").join(kept, docs["doc_id"] == kept["__doc"], "left")
+    changed = F.col("__doc").isNotNull()
+    out = joined.withColumn("text", F.when(changed, F.col("__text")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
