@@ -25,7 +25,11 @@ from tilth.llm.simhash import union
 
 COSINE = 0.95
 #: Filters that a vector exceeds and vectors in a filter, both on average.
-LISTED, LOAD = 40, 512
+LISTED, LOAD = 10, 512
+#: Codes of their own, each with its turn; pairs that one code misses meet in another.
+CODES = 4
+#: A cap's threshold, as a cosine, is this at most.
+WIDEST = 0.6
 #: A filter with more vectors is cut into blocks of about this many, and its pairs of blocks are compared apart.
 GROUP = 2048
 SEED = 17
@@ -40,21 +44,32 @@ class Codes:
         rng = np.random.default_rng([seed, dim])
         self.half = max(1, math.ceil(dim / 2))
         width = 2 * self.half
-        self.size = max(4, math.ceil(math.sqrt(n * listed / load)))
+        self.size = max(16, math.ceil(math.sqrt(n * listed / load)))
         turn = np.linalg.qr(rng.standard_normal((width, width)))[0][:, :dim]
         self.turn = np.rint(turn * TURN)
         codes = rng.standard_normal((2, self.size, self.half))
         self.codes = np.rint(codes / np.linalg.norm(codes, axis=2, keepdims=True) * math.sqrt(self.half) * TURN / 4)
-        share = min(0.5, listed / self.size**2)
-        # a direction's sum on a unit vector has about the variance of its own squares over the dimension
-        spread = UNIT * TURN * TURN / 4 * math.sqrt(2 * self.half) / math.sqrt(width)
-        self.least = NormalDist().inv_cdf(1 - share) * spread
+        self.least = self._threshold(rng, min(0.5, listed / self.size**2))
+
+    def _threshold(self, rng: np.random.Generator, share: float) -> float:
+        """The sum that this share of filters exceeds on random vectors; below what a trial can tell, by the normal law."""
+        tried = units(rng.standard_normal((2048, self.turn.shape[1])))
+        first, second = self._sums(tried)
+        i, j = rng.integers(0, self.size, (2, 1024))
+        sums = first[:, i] + second[:, j]
+        told = max(share, 1e-5)
+        law = NormalDist()
+        least = np.quantile(sums, 1 - told) + (law.inv_cdf(1 - share) - law.inv_cdf(1 - told)) * sums.std()
+        # in few dimensions a cap must stay wide enough for two linked vectors
+        return float(min(least, WIDEST * UNIT * TURN * TURN / 4 * math.sqrt(2 * self.half)))
+
+    def _sums(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        turned = np.rint(unit * UNIT) @ self.turn.T
+        return turned[:, : self.half] @ self.codes[0].T, turned[:, self.half :] @ self.codes[1].T
 
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, filter) of all filters that the unit vectors exceed."""
-        turned = np.rint(unit * UNIT) @ self.turn.T
-        first = turned[:, : self.half] @ self.codes[0].T
-        second = turned[:, self.half :] @ self.codes[1].T
+        first, second = self._sums(unit)
         order = np.argsort(-second, axis=1, kind="stable")
         sums = np.take_along_axis(second, order, axis=1)
         row, code = np.nonzero(first + sums[:, :1] >= self.least)
@@ -71,6 +86,27 @@ class Codes:
         return np.concatenate(rows), np.concatenate(filters)
 
 
+class Family:
+    """Several codes; the filters of all are numbered in a row."""
+
+    def __init__(self, dim: int, n: int):
+        self.codes = [Codes(dim, n, seed=SEED + k) for k in range(CODES)]
+
+    def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        rows, filters = zip(*(c.decode(unit) for c in self.codes))
+        return np.concatenate(rows), np.concatenate([f + k * self.codes[0].size ** 2 for k, f in enumerate(filters)])
+
+
+_families: dict[tuple[int, int], Family] = {}
+
+
+def family(dim: int, n: int) -> Family:
+    """One for each worker process."""
+    if (dim, n) not in _families:
+        _families[dim, n] = Family(dim, n)
+    return _families[dim, n]
+
+
 def _prefix(sums: np.ndarray, row: np.ndarray, least: np.ndarray) -> np.ndarray:
     """How many of a row's falling sums are at least the bound, by halving."""
     low, high = np.zeros(len(row), np.int64), np.full(len(row), sums.shape[1], np.int64)
@@ -93,7 +129,7 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def _decoder(n: int, codes: dict):
+def _decoder(n: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             dims = part.column(2).to_numpy()
@@ -101,18 +137,12 @@ def _decoder(n: int, codes: dict):
                 rows = part.filter(pa.array(dims == dim))
                 for at in range(0, rows.num_rows, 512):
                     some = rows.slice(at, 512)
-                    row, number = _codes(codes, dim, n).decode(units(_matrix(some.column(3), dim)))
+                    row, number = family(dim, n).decode(units(_matrix(some.column(3), dim)))
                     yield some.take(pa.array(row)).append_column("filter", pa.array(number))
 
     return run
 
 
-def _codes(held: dict, dim: int, n: int) -> Codes:
-    if dim not in held:
-        held[dim] = Codes(dim, n)
-    return held[dim]
-
-
 def _compare(n: int, least: float):
     """Links of one filter, or of two of its blocks: (u, v, links) with v the smallest vector joined here."""
 
@@ -134,7 +164,7 @@ def _compare(n: int, least: float):
         links = np.zeros(len(rep), np.int64)
         labels = np.arange(len(rep))
         if len(i):
-            own = _first(unit, i, j, number, _codes({}, dim, n))
+            own = _first(unit, i, j, number, family(dim, n))
             i, j = i[own], j[own]
             np.add.at(links, i, size[j])
             np.add.at(links, j, size[i])
@@ -145,7 +175,7 @@ def _compare(n: int, least: float):
     return run
 
 
-def _first(unit: np.ndarray, i: np.ndarray, j: np.ndarray, number: int, codes: Codes) -> np.ndarray:
+def _first(unit: np.ndarray, i: np.ndarray, j: np.ndarray, number: int, codes: Family) -> np.ndarray:
     """Which pairs share no filter smaller than ``number``."""
     some, place = np.unique(np.concatenate([i, j]), return_inverse=True)
     i, j = place[: len(i)], place[len(i) :]
@@ -168,14 +198,14 @@ def cosine_classes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
     of different length. Equal vectors are compared once and counted each. Rows are vectors of
     their own; those with one id are one node of the components.
     """
-    source = pick(vectors, vec_id=id_col, vector=vector_col).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("vector").cast("array<double>").alias("vector"))
+    source = pick(vectors, vec_id=id_col, vector=vector_col).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     sound = F.coalesce(finite & F.exists("vector", lambda x: x != 0), F.lit(False))
     rows = source.select("vec_id", F.when(sound, F.col("vector")).alias("vector"))
     good = rows.where("vector is not null")
     classes = written(good.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size")).select("rep", "size", F.size("vector").cast("long").alias("dim"), "vector"), "classes")
-    n = classes.count()
-    listed = classes.mapInArrow(_decoder(n, {}), "rep long, size long, dim long, vector array<double>, filter long")
+    n, kind = classes.count(), dict(classes.dtypes)["vector"]
+    listed = classes.mapInArrow(_decoder(n), f"rep long, size long, dim long, vector {kind}, filter long")
     load = written(listed.groupBy("dim", "filter").agg(F.count("*").alias("load")).where(F.col("load") > GROUP), "full-filters")
     blocks = F.coalesce(F.ceil(F.col("load") / GROUP), F.lit(1))
     split = listed.join(load, ["dim", "filter"], "left").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
