@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilth.llm.common import pick
+from tilth.llm.common import pick, written
 
 #: Pieces of more bytes are left out of the vocabulary, so that a piece fits a 64-bit key.
 LONGEST = 8
@@ -135,7 +135,7 @@ def learn(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     vocabulary's size for each language. A language whose sample has no letter isn't learned.
     """
     source = pick(docs, doc_id=id_col, text=text_col, lang=lang_col).where("lang is not null and text is not null")
-    totals = source.groupBy("lang").agg(F.count("*").alias("n"))
+    totals = written(source.groupBy("lang").agg(F.count("*").alias("n")), "languages")
     draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / F.lit(1 << 30)
     drawn = source.join(totals, "lang").where(draw * F.col("n") < sample).select("lang", "text")
     pieces = Pieces(vocabulary(path))
