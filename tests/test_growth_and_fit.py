@@ -141,10 +141,24 @@ def test_refinement_narrows_bounds_and_resumes(spark, tmp_path):
     assert latest_manifest(spark, f"{tmp_path}/nowhere") is None
 
 
+def test_no_run_finds_the_passes_of_another(spark, tmp_path):
+    args = (b.pheno(spark, SF).limit(50).cache(), b.small(spark, "crop_height"), b.small(spark, "bounds"))
+    at = store(spark, f"{tmp_path}/c")
+    iterative_refinement(*args, 2, at)
+    first = at.folder
+    at.begin("another input")  # a job that is lost before its first pass
+    assert at.folder != first and at.latest(5) is None
+    fewer = iterative_refinement(args[0].limit(20), *args[1:], 1, at)
+    assert fewer.count() <= 20 and at.latest(5) == 1
+    anew = iterative_refinement(args[0].limit(20), *args[1:], 1, at, resume=False)
+    assert at.latest(5) == 1 and anew.count() == fewer.count()
+
+
 def test_checkpoint_id_depends_on_models():
     a, c = checkpoint_id(5.4, "exp", {"RT_s": "SPM", "RT_c": "Diff"}), checkpoint_id(5.4, "exp", {"RT_s": "OH", "RT_c": "Diff"})
-    assert a.startswith("f5p4_ac_exp_rt-c-diff_rt-s-spm_") and len(a.rsplit("_", 1)[1]) == 12
-    assert a != c
+    assert a.startswith("config-") and len(a) == 19
+    assert a == checkpoint_id(5.4, "exp", {"RT_c": "Diff", "RT_s": "SPM"})
+    assert len({a, c, checkpoint_id(5.5, "exp", {"RT_s": "SPM", "RT_c": "Diff"}), checkpoint_id(5.4, "gauss", {"RT_s": "SPM", "RT_c": "Diff"})}) == 4
 
 
 def test_broken_rows_do_not_fail_the_pass(spark):

@@ -152,6 +152,16 @@ def test_new_stations_only(spark, tmp_path):
     assert {(r.station, r.v) for r in spark.read.parquet(path).collect()} == {("a", 1), ("a", 2), ("b", 3)}
 
 
+def test_half_written_station_is_written_anew(spark, tmp_path):
+    path = f"{tmp_path}/stations"
+    sinks.write_new_stations(spark.createDataFrame([("a", 1)], "station string, v int"), path)
+    # what a lost job leaves: some rows of a station, no word that it is complete
+    spark.createDataFrame([("b", 3)], "station string, v int").write.partitionBy("station").mode("append").parquet(path)
+    every = spark.createDataFrame([("a", 9), ("b", 3), ("b", 4)], "station string, v int").repartition(8)
+    sinks.write_new_stations(every, path)
+    assert sorted((r.station, r.v) for r in spark.read.parquet(path).collect()) == [("a", 1), ("b", 3), ("b", 4)]
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_stage_tables_round_trip(spark, tmp_path, fmt):
     row = spark.createDataFrame([("MB1", 1, "110", -9.5)], "Station string, op int, lc string, VV double")

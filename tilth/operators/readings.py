@@ -134,11 +134,12 @@ def pivot_long_to_wide(
     keys: Sequence[str],
     categories: Sequence[str] = ("SSM", "SST", "AIRT", "PRCP"),
     value: str = "value",
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """One column per category, without aggregation: a doubled cell is an error.
 
     Keys may be NULL. Rows of other categories add no column but keep their
-    key's row. The error is raised by the job itself when it meets a doubled cell.
+    key's row. ``carried``: columns that are the same in all rows of a key. The error is raised by the job itself when it meets a doubled cell.
     """
     aggs = []
     for c in categories:
@@ -147,7 +148,7 @@ def pivot_long_to_wide(
         aggs.append(
             F.when(F.count_if(here) > 1, twice).otherwise(F.max(F.when(here, F.col(value)))).alias(c.lower())
         )
-    return df.groupBy(*keys).agg(*aggs)
+    return df.groupBy(*keys).agg(*aggs, *[F.max(c).alias(c) for c in carried])
 
 
 def duplicate_cells(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -16,7 +16,7 @@ from tilth.operators.inversion import derive_bounds, invert_once
 from tilth.schemas import READINGS, READINGS_LONG, SCENES, conform
 from tilth.session import materialize
 from tilth.sources.csv_lines import read_scene_csv, read_station_csv
-from tilth.sources.sinks import IterationStore
+from tilth.sources.sinks import IterationStore, table_digest
 
 MEASURES = ("SSM", "SST", "AIRT", "PRCP")
 
@@ -50,9 +50,8 @@ def load_readings(long: DataFrame, texture: DataFrame, depth: str = readings.SHA
     Daily means are interpolated per station over its instants.
     """
     kept = readings.categorize_sensor(readings.filter_depth(long, depth))
-    means = [F.first("mean_sst").alias("mean_sst"), F.first("mean_airt").alias("mean_airt")]
     keys = ["date", "station", "depth"]
-    wide = readings.pivot_long_to_wide(kept, keys, MEASURES).join(kept.groupBy(*keys).agg(*means), on=keys)
+    wide = readings.pivot_long_to_wide(kept, keys, MEASURES, carried=["mean_sst", "mean_airt"])
     wide = timeseries.interpolate_linear(materialize(wide, "wide"), ["mean_airt", "mean_sst"])
     wide = readings.calendar_columns(wide)
     return conform(readings.join_texture(wide, texture), READINGS)
@@ -109,11 +108,13 @@ def iterative_refinement(
     """Passes over the same input, each within the bounds the pass before it found.
 
     Every pass is written and read back, which cuts the lineage and lets a
-    later run resume after the last finished pass. Returns the last result.
+    later run over the same tables resume after the last finished pass.
+    Returns the last result.
     """
     if iterations < 1:
         raise ValueError("iterations must be at least 1")
-    results, done = None, store.latest(iterations) if resume else None
+    store.begin(table_digest(pheno, height, bounds) + f"-{f_ghz}-{model}-{levels}-{refinements}", resume)
+    results, done = None, store.latest(iterations)
     base, current = bounds, bounds
     if done is not None:
         results, current = store.restore(done, base)

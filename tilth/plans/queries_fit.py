@@ -467,7 +467,7 @@ def iterative_refinement_query(spark, sf_dir):
 @query(
     "sink_iteration_checkpoint",
     with_tables("pheno", "crop_height", "bounds", **pass_inputs(), **lut_tables("bounds"), derived=derived_sql("done", "bounds"))
-    + f"""SELECT concat('f5p4_ac_exp_rt-c-diff_rt-s-spm_', substr(sha256('{{"RT_c": "Diff", "RT_s": "SPM"}}'), 1, 12)) AS identifier,
+    + f"""SELECT concat('config-', substr(sha256(concat_ws(chr(10), 'acf=exp', 'frequency_ghz=5.4', 'model.RT_c=Diff', 'model.RT_s=SPM')), 1, 12)) AS identifier,
         1 AS iteration, {BOUNDS_OUT} FROM derived""",
 )
 def sink_iteration_checkpoint(spark, sf_dir):

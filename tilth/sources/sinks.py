@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
-from datetime import datetime, timezone
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.regression import RandomForestRegressionModel
@@ -15,6 +14,11 @@ from pyspark.sql import types as T
 
 from tilth.operators.inversion import derive_bounds, merge_bounds
 from tilth.schemas import BOUNDS, conform, struct
+from tilth.session import materialize
+
+
+def _gone(missing: AnalysisException) -> bool:
+    return any(mark in (missing.getCondition() or "") for mark in ("PATH_NOT_FOUND", "UNABLE_TO_INFER"))
 
 
 def _read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -22,7 +26,7 @@ def _read_or_none(spark: SparkSession, path: str, schema: T.StructType | None =
     try:
         return reader.parquet(path)
     except AnalysisException as missing:
-        if "PATH_NOT_FOUND" in (missing.getCondition() or "") or "UNABLE_TO_INFER" in (missing.getCondition() or ""):
+        if _gone(missing):
             return None
         raise
 
@@ -33,15 +37,20 @@ def absent_stations(df: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def write_new_stations(df: DataFrame, path: str) -> None:
-    """Append the stations not yet below ``path``, one partition folder per station.
+    """Append the stations not yet complete below ``path``, one partition folder per station.
 
-    Which stations are present is read from the partition values, with no data
-    column. A crowded station is written by many tasks, each to its own file.
+    A station counts as present once it stands in ``_complete``, written after the
+    data: what a lost job left of a station is written anew in its place. Rows are
+    dealt out by station first, large stations to several tasks and small ones
+    together, so files follow stations and size, not the number of input splits.
     """
     spark = df.sparkSession
-    existing = _read_or_none(spark, path)
-    new = df if existing is None else absent_stations(df, existing)
-    new.write.partitionBy("station").mode("append").parquet(path)
+    done = _read_or_none(spark, f"{path}/_complete", struct("station string"))
+    new = df if done is None else absent_stations(df, done)
+    writer = new.hint("rebalance", "station").write.partitionBy("station").mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    stations = materialize(new.select(F.col("station").cast("string").alias("station")).distinct(), "stations")
+    stations.write.mode("append").parquet(f"{path}/_complete")
 
 
 def write_stage(df: DataFrame, path: str, schema: T.StructType | None = None, fmt: str = "parquet") -> None:
@@ -56,36 +65,60 @@ def read_stage(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     try:
         return (reader.option("header", "true") if fmt == "csv" else reader).load(path)
     except AnalysisException as missing:
+        if not _gone(missing):
+            raise
         raise FileNotFoundError(f"no stage table at {path}; run the stage that writes it first") from missing
 
 
 # -- inversion checkpoints -------------------------------------------------
 
 
-def _token(value) -> str:
-    return re.sub(r"[^a-z0-9]+", "-", str(value).strip().lower()).strip("-") or "unknown"
+def configuration(f_ghz: float, acf: str, models: dict) -> str:
+    """What a fit depends on besides its tables: one ``name=value`` line each, in order of name."""
+    lines = {"acf": acf, "frequency_ghz": float(f_ghz), **{f"model.{k}": v for k, v in models.items()}}
+    return "\n".join(f"{k}={lines[k]}" for k in sorted(lines))
 
 
 def checkpoint_id(f_ghz: float, acf: str, models: dict) -> str:
-    """Folder name of a configuration: frequency, correlation function, models and a digest."""
-    digest = hashlib.sha256(json.dumps(models, sort_keys=True, default=str).encode()).hexdigest()[:12]
-    freq = str(float(f_ghz)).replace(".", "p").replace("-", "m")
-    names = [f"{_token(k)}-{_token(v)}" for k, v in sorted(models.items()) if k.lower().startswith("rt")]
-    return "_".join([f"f{freq}", "ac", _token(acf), *(names or ["rt-unknown"]), digest])
+    """Folder name of a configuration: its digest."""
+    return "config-" + hashlib.sha256(configuration(f_ghz, acf, models).encode()).hexdigest()[:12]
+
+
+def table_digest(*tables: DataFrame) -> str:
+    """Digest of the rows of each table, whatever their order. Runs one aggregate for each."""
+    seen = []
+    for t in tables:
+        row = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(t.columns)]).cast("decimal(38,0)")
+        seen.append([str(v) for v in t.agg(F.count(F.lit(1)), F.sum(row)).first()])
+    return hashlib.sha256(json.dumps(seen).encode()).hexdigest()[:16]
 
 
 class IterationStore:
-    """Results and bounds of each pass below ``root/<checkpoint id>``.
+    """Results and bounds of each pass below ``root/<checkpoint id>/<run>``.
 
-    A pass counts once its row in ``passes`` is written, after its tables: a
-    job lost half-way leaves files that are overwritten, never read.
+    A run belongs to one input. Starting one writes the mark that names it and
+    its input's digest, before any pass: a job lost half-way, a run that starts
+    anew and a changed input can never find the passes of another run. A pass
+    counts once its row in ``passes`` is written, after its tables.
     """
 
     def __init__(self, spark: SparkSession, root: str, f_ghz: float, acf: str, models: dict):
         self.spark, self.root = spark, root.rstrip("/")
-        self.config = {"f_ghz": float(f_ghz), "acf": acf, "models": json.dumps(models, sort_keys=True, default=str)}
+        self.configuration = configuration(f_ghz, acf, models)
         self.identifier = checkpoint_id(f_ghz, acf, models)
-        self.folder = f"{self.root}/{self.identifier}"
+        self.home, self.folder = f"{self.root}/{self.identifier}", None
+
+    def begin(self, digest: str, resume: bool = True) -> None:
+        """Goes on with the marked run if it had the same input, else starts a new one."""
+        marked = _read_or_none(self.spark, f"{self.home}/mark", struct("run string, digest string"))
+        mark = marked.first() if marked is not None else None
+        if not (resume and mark is not None and mark.digest == digest):
+            run = f"run-{uuid.uuid4().hex[:12]}"
+            row = self.spark.range(1).select(F.lit(run).alias("run"), F.lit(digest).alias("digest"))
+            row.write.mode("overwrite").parquet(f"{self.home}/mark")
+        else:
+            run = mark.run
+        self.folder = f"{self.home}/{run}"
 
     def write(self, iteration: int, results: DataFrame) -> DataFrame:
         """Write a pass's results and return them as read back, free of lineage."""
@@ -101,20 +134,18 @@ class IterationStore:
     def finish(self, iteration: int, requested: int) -> None:
         done = self.spark.range(1).select(F.lit(iteration).alias("iteration"))
         done.write.mode("append").parquet(f"{self.folder}/passes")
-        manifest = {
-            **self.config,
-            "identifier": self.identifier,
-            "iteration": iteration,
-            "iterations_requested": requested,
-            "results_path": f"{self.folder}/results/iter={iteration}",
-            "bounds_path": f"{self.folder}/bounds/iter={iteration}",
-            "written_utc": datetime.now(timezone.utc).replace(microsecond=0).isoformat(),
-        }
-        row = self.spark.range(1).select(*[F.lit(v).alias(k) for k, v in manifest.items()])
+        row = self.spark.range(1).select(
+            F.lit(self.identifier).alias("identifier"),
+            F.lit(self.configuration).alias("configuration"),
+            F.lit(self.folder).alias("folder"),
+            F.lit(iteration).alias("iteration"),
+            F.lit(requested).alias("passes_asked"),
+            F.current_timestamp().alias("finished"),
+        )
         row.write.mode("overwrite").json(f"{self.root}/latest")
 
     def latest(self, at_most: int) -> int | None:
-        """Highest finished pass not above ``at_most``."""
+        """Highest finished pass of the run not above ``at_most``."""
         passes = _read_or_none(self.spark, f"{self.folder}/passes", struct("iteration int"))
         if passes is None:
             return None
