@@ -79,7 +79,3 @@ def hashed_order(*ids: Column | str) -> Column:
     that are contiguous in this same order.
     """
     return F.md5(F.concat_ws("|", *[as_col(c).cast("string") for c in ids]))
-
-
-def contains_any_case(c: Column | str, needle: str) -> Column:
-    return F.lower(as_col(c)).contains(needle.lower())

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilth.schemas import require_columns
+from tilth.session import materialize
 
 # Model inputs per target, and the forest's settings.
 MOISTURE_FEATURES = ("angle", "vvs", "s", "l", "year", "doy", "lc", "op")
@@ -65,7 +66,12 @@ def holdout_year_per_station(df: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def split_by_holdout_year(df: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``is_test`` marks rows of their station's held-out year."""
+    """``is_test`` marks rows of their station's held-out year.
+
+    ``chosen`` is written first (runs a job), so the planner knows its size and
+    need not shuffle the rows by their few stations.
+    """
+    chosen = materialize(chosen, "chosen")
     return df.join(chosen, on="station", how="left").select(
         *df.columns, F.coalesce(F.col("test_year") == F.col("year"), F.lit(False)).alias("is_test")
     )
@@ -78,9 +84,8 @@ def random_split(
 
     The same rows fall on the same side whatever the partitioning.
     """
-    limit = format(int(fraction * 65536), "04x")
     key = F.concat_ws(":", *[F.col(c).cast("string") for c in ids], F.lit(str(seed)))
-    return df.withColumn("is_test", F.substring(F.md5(key), 1, 4) < limit)
+    return df.withColumn("is_test", F.conv(F.substring(F.md5(key), 1, 4), 16, 10).cast("int") < int(fraction * 65536))
 
 
 def check_split(split: DataFrame) -> DataFrame:
@@ -139,15 +144,15 @@ def regression_metrics(df: DataFrame, target: str, prediction: str | None = None
 
 
 def tree_table_export(spark, model: RandomForestRegressionModel) -> DataFrame:
-    """One row per tree: its text on one line.
+    """One row per tree: its text on one line, nodes parted by ``#``.
 
     Rows come from the fitted model, which lives on the driver and whose size
     is set by the number and depth of its trees, not by the data.
     """
     rows = [(i, tree.toDebugString) for i, tree in enumerate(model.trees)]
     raw = spark.createDataFrame(rows, "tree_id int, tree string")
-    one_line = F.replace(F.regexp_replace("tree", r"\s+", " "), F.lit("\n"), F.lit("#"))
-    return raw.withColumn("tree", F.trim(one_line))
+    lines = F.regexp_replace(F.trim("tree"), r"\s*\n\s*", "#")
+    return raw.withColumn("tree", F.regexp_replace(lines, r"\s+", " "))
 
 
 def train_targets(df: DataFrame, targets: Sequence[str], holdout_by_year: bool = True, ids=("obs_id",)) -> dict:

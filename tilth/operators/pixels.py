@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tilth.functions.columns import db_to_power, doy_of, power_to_db, year_of
 from tilth.operators.quantiles import exact_median
+from tilth.session import materialize
 
 # Mask threshold in dB and the samples kept for the noise estimate.
 EDGE_DB = -30.0
@@ -29,7 +30,8 @@ def buffer_range_join(
 
     ``stations`` has ``station, sx, sy`` in the pixels' units. Stations are put
     into the cells, one distance wide, that their circle can touch; pixels are
-    matched on their own cell and then by exact distance.
+    matched on their own cell and then by exact distance. The stations' cells
+    are written first (runs a job), so the planner knows their size.
     """
     if distance < 0:
         raise ValueError("distance must not be negative")
@@ -46,7 +48,7 @@ def buffer_range_join(
         F.col(y) - F.col("sy")
     )
     return (
-        placed.join(near, on=["__cx", "__cy"], how="inner")
+        placed.join(materialize(near, "station-cells"), on=["__cx", "__cy"], how="inner")
         .filter(apart <= float(distance) ** 2)
         .select("station", *pixels.columns)
     )

@@ -59,6 +59,6 @@ def exact_median(
     def holds(rank: Column) -> Column:
         return F.when((rank > F.col("__lo")) & (rank <= F.col("__hi")), F.col("__v"))
 
-    return ranked.groupBy(*by).agg(
-        ((F.max(holds(lower)) + F.max(holds(upper))) / 2.0).alias(out)
-    )
+    middle = (F.max(holds(lower)) + F.max(holds(upper))) / 2.0
+    missed = F.raise_error(F.lit("the bracket missed the middle of a group")).cast("double")
+    return ranked.groupBy(*by).agg(F.coalesce(middle, missed).alias(out))

@@ -63,7 +63,8 @@ def pivot_bands_mean(
     value: str = "value",
 ) -> DataFrame:
     """One column per band, repeated cells averaged, rows with a NULL key dropped."""
-    return df.dropna(subset=list(keys)).groupBy(*keys).pivot("band", list(bands)).agg(F.avg(value))
+    means = [F.avg(F.when(F.col("band") == band, F.col(value))).alias(band) for band in bands]
+    return df.dropna(subset=list(keys)).groupBy(*keys).agg(*means)
 
 
 def cast_crop(df: DataFrame, landcover: str = "landcover") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tilth.functions.columns import day, hashed_order, micros
 from tilth.operators.scan import running
+from tilth.session import materialize
 
 
 def with_time_blocks(
@@ -119,10 +120,13 @@ def calendar_densify(daily: DataFrame, by: Sequence[str] = ("station",), day_col
 def attach_daily_stats(
     readings: DataFrame, *daily: DataFrame, by: Sequence[str] = ("station",), ts: str = "date"
 ) -> DataFrame:
-    """Put each day's statistics on every reading of that day."""
+    """Put each day's statistics on every reading of that day.
+
+    The daily tables are written first (runs jobs), so the planner knows their size.
+    """
     out = readings.withColumn("day", day(ts))
     for stats in daily:
-        out = out.join(stats, on=[*by, "day"], how="left")
+        out = out.join(materialize(stats, "daily"), on=[*by, "day"], how="left")
     return out.drop("day")
 
 
@@ -205,7 +209,8 @@ def asof_nearest(
     """
     by = list(by)
     payload = [c for c in right.columns if c not in left.columns]
-    width = tolerance_seconds * 1_000_000
+    reach = tolerance_seconds * 1_000_000
+    width = max(reach, 1_000_000)
     fields = F.struct(*payload)
     present = F.lit(True)
     for c in [*by, ts]:
@@ -252,7 +257,7 @@ def asof_nearest(
         .filter("__side = 1")
     )
     gap_b, gap_a = F.col("t") - F.col("__b.t"), F.col("__a.t") - F.col("t")
-    back_ok, ahead_ok = gap_b <= width, gap_a <= width
+    back_ok, ahead_ok = gap_b <= reach, gap_a <= reach
     pick = (
         F.when(back_ok & (~F.coalesce(ahead_ok, F.lit(False)) | (gap_b <= gap_a)), F.col("__b.row"))
         .when(ahead_ok, F.col("__a.row"))

@@ -12,6 +12,7 @@ from tilth.functions.columns import day
 from tilth.operators.quantiles import exact_median
 from tilth.operators.timeseries import spans_of_consecutive_days
 from tilth.schemas import require_columns, require_rows
+from tilth.session import materialize
 
 
 def _as_list(value) -> list | None:
@@ -114,7 +115,7 @@ def backfill_target(
     )
 
 
-#: key sets tried in turn for panels: columns kept, and those that must be present
+# Key sets tried in turn for panels: columns kept, and those that must be present
 KEY_PRIORITY = (
     (("year", "lc", "station"), ("year", "station")),
     (("year", "station"), ("year", "station")),
@@ -172,9 +173,10 @@ def match_observed_predicted(
 ) -> DataFrame:
     """Observed and predicted series of each key as rows tagged by ``series``.
 
-    Keys without observations are left out.
+    Keys without observations are left out. The keys are written first (runs a
+    job), so the planner knows their size.
     """
-    known = observed.select(*keys).dropna().distinct()
+    known = materialize(observed.select(*keys).dropna().distinct(), "keys")
     seen = observed.select(*keys, ts, F.lit("observed").alias("series"), F.col(target).alias("value"))
     made = holdout.select(*keys, ts, F.lit("predicted").alias("series"), F.col(f"{target}_pred").alias("value"))
     return seen.dropna(subset=list(keys)).unionByName(made.join(known, on=list(keys), how="left_semi"))
@@ -201,29 +203,19 @@ def freeze_spans(
     return spans_of_consecutive_days(cold, by)
 
 
-def crop_station_year_pivot(df: DataFrame, crops: Sequence[str] | None = None) -> DataFrame:
+def crop_station_year_pivot(df: DataFrame, crops: Sequence[str]) -> DataFrame:
     """Rows per station and year by crop, 0 where none, sorted; NULL keys dropped.
 
-    Without ``crops`` their list is read first, from the distinct codes.
+    ``crops``: the codes that become columns, as in the crop tables.
     """
     require_columns(df, ["station", "year", "lc"])
     full = df.select("station", "year", "lc").dropna()
-    if crops is None:
-        crops = distinct_values(full, "lc")
     counts = full.groupBy("station", "year", "lc").agg(F.count(F.lit(1)).alias("n"))
     return (
         counts.groupBy("station", "year").pivot("lc", list(crops)).agg(F.sum("n")).na.fill(0).orderBy("station", "year")
     )
 
 
-def distinct_values(df: DataFrame, col: str, limit: int = 10_000) -> list:
-    """Values of a code column, sorted, for use as pivot columns; fails beyond ``limit``."""
-    rows = df.select(col).dropna().distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{col!r} has more than {limit} distinct values")
-    return sorted(r[0] for r in rows)
-
-
 def crop_coverage(df: DataFrame) -> DataFrame:
     """Per crop: records, distinct station-years, stations and years."""
     require_columns(df, ["station", "year", "lc"])

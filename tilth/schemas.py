@@ -38,7 +38,6 @@ SCENES = struct(
     " angle double, vv double, vh double, lc string"
 )
 
-PIXELS = struct("scene string, band string, row bigint, col bigint, v double")
 
 BOUNDS = struct("lc string, param string, lo double, seed double, hi double")
 
