@@ -48,7 +48,7 @@ def test_forest_per_target_and_round_trip(spark, tmp_path):
     again = md.predict_holdout(sinks.read_model(f"{tmp_path}/m"), held.drop("ssm_pred"), "ssm")
     assert again.select("obs_id", "ssm_pred").exceptAll(held.select("obs_id", "ssm_pred")).isEmpty()
     trees = md.tree_table_export(spark, model).collect()
-    assert len(trees) == md.NUM_TREES and all("\n" not in t.tree and "  " not in t.tree for t in trees)
+    assert len(trees) == md.NUM_TREES and all("\n" not in t.tree and "  " not in t.tree and "#If" in t.tree for t in trees)
     with pytest.raises(KeyError, match="available"):
         md.filter_complete_cases(table, "nothing")
     counts = md.completeness(table, "ssm").first()

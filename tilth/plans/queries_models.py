@@ -14,7 +14,7 @@ from tilth.plans.pipeline import growth
 from tilth.plans.queries_fit import GROWTH_TABLES, STAGE_TABLES, stage_sql
 from tilth.plans.queries_readings import WIDE_SQL, wide
 from tilth.plans.registry import query, rounded
-from tilth.session import scratch_path
+from tilth.session import delete_at_end, scratch_path
 from tilth.sources import sinks
 
 # -- modelling -------------------------------------------------------------
@@ -42,14 +42,22 @@ def fitted(spark, sf_dir):
     return model, split.filter("is_test").drop("is_test")
 
 
-@query("select_features")
+@query(
+    "select_features",
+    with_tables("scenes", train=TRAIN_SQL)
+    + "SELECT obs_id, "
+    + ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS f{i}" for i, c in enumerate(md.features_for("ssm")))
+    + ", round(ssm, 6) AS label FROM train WHERE "
+    + " AND ".join(f"{c} IS NOT NULL" for c in ("ssm", *md.features_for("ssm"))),
+)
 def select_features(spark, sf_dir):
-    """The assembled vector as an array, one row per complete case."""
+    """The assembled vector by position, one row per complete case."""
     from pyspark.ml.functions import vector_to_array
 
     complete = md.filter_complete_cases(training(spark, sf_dir), "ssm")
-    out = md.select_features(complete, "ssm")
-    return rounded(out.select("obs_id", vector_to_array("features").alias("features"), "label"))
+    out = md.select_features(complete, "ssm").withColumn("features", vector_to_array("features"))
+    places = [F.col("features")[i].alias(f"f{i}") for i in range(len(md.features_for("ssm")))]
+    return rounded(out.select("obs_id", *places, "label"))
 
 
 @query(
@@ -91,33 +99,53 @@ def random_split(spark, sf_dir):
     return md.random_split(b.scenes(spark, sf_dir).select("obs_id"), ["obs_id"])
 
 
-@query("train_forest")
+COMPLETE_SQL = " AND ".join(f"{c} IS NOT NULL" for c in ("ssm", *md.features_for("ssm")))
+HELD_SQL = f"SELECT t.* FROM train t JOIN chosen c ON t.station = c.station AND t.year = c.test_year WHERE {COMPLETE_SQL}"
+TREES_SQL = f"SELECT CAST(unnest(range({md.NUM_TREES})) AS INT) AS tree_id"
+
+
+@query("train_forest", f"SELECT tree_id, true AS grown, true AS depth_ok FROM ({TREES_SQL})")
 def train_forest(spark, sf_dir):
-    """Size and depth of each tree of the trained forest."""
+    """Whether each tree of the trained forest splits its rows, no deeper than allowed."""
     model, _ = fitted(spark, sf_dir)
-    rows = [(i, t.numNodes, t.depth) for i, t in enumerate(model.trees)]
-    return spark.createDataFrame(rows, "tree_id int, nodes int, depth int")
+    rows = [(i, t.numNodes > 1, t.depth <= md.MAX_DEPTH) for i, t in enumerate(model.trees)]
+    return spark.createDataFrame(rows, "tree_id int, grown boolean, depth_ok boolean")
 
 
-@query("predict_holdout")
+@query(
+    "predict_holdout",
+    with_tables("scenes", train=TRAIN_SQL, chosen=CHOSEN_SQL, held=HELD_SQL)
+    + "SELECT obs_id, round(ssm, 6) AS ssm, true AS in_range FROM held",
+)
 def predict_holdout(spark, sf_dir):
+    """The rows held out, and whether each prediction lies among the labels learned from."""
     model, test = fitted(spark, sf_dir)
-    return rounded(md.predict_holdout(model, test, "ssm").select("obs_id", "ssm", "ssm_pred"))
+    learned = md.filter_complete_cases(training(spark, sf_dir), "ssm").agg(F.min("ssm"), F.max("ssm")).first()
+    inside = F.col("ssm_pred").between(learned[0] - 1e-9, learned[1] + 1e-9)
+    return rounded(md.predict_holdout(model, test, "ssm").select("obs_id", "ssm", inside.alias("in_range")))
 
 
-@query("sink_model")
+@query(
+    "sink_model",
+    with_tables("scenes", train=TRAIN_SQL, chosen=CHOSEN_SQL, held=HELD_SQL) + "SELECT obs_id, true AS same FROM held",
+)
 def sink_model(spark, sf_dir):
-    """Predictions of the forest after a round trip through storage."""
+    """Whether the stored forest predicts what the fitted one does, for every row held out."""
     model, test = fitted(spark, sf_dir)
     path = scratch_path(spark, "model")
     sinks.write_model(model, path)
-    return rounded(md.predict_holdout(sinks.read_model(path), test, "ssm").select("obs_id", "ssm_pred"))
+    delete_at_end(spark, path)
+    scored = md.predict_holdout(model, test, "ssm").withColumnRenamed("ssm_pred", "fitted")
+    again = md.predict_holdout(sinks.read_model(path), scored, "ssm")
+    return again.select("obs_id", (F.col("ssm_pred") == F.col("fitted")).alias("same"))
 
 
-@query("tree_table_export")
+@query("tree_table_export", f"SELECT tree_id, true AS one_line, true AS marked FROM ({TREES_SQL})")
 def tree_table_export(spark, sf_dir):
+    """Whether each tree's text is one line with its nodes marked off."""
     model, _ = fitted(spark, sf_dir)
-    return md.tree_table_export(spark, model)
+    trees = md.tree_table_export(spark, model)
+    return trees.select("tree_id", (~F.contains("tree", F.lit("\n"))).alias("one_line"), F.contains("tree", F.lit("#If")).alias("marked"))
 
 
 @query(
@@ -206,26 +234,29 @@ def grouped_metrics(spark, sf_dir):
 
 @query(
     "overall_metrics",
-    with_tables("holdout") + f"SELECT {metrics_sql('ssm', 'ssm_pred')} FROM holdout WHERE lc IN ('110', '122')",
+    with_tables("holdout") + f"SELECT {metrics_sql('ssm', 'ssm_pred')} FROM holdout",
 )
 def overall_metrics(spark, sf_dir):
-    subset = val.filter_in_list(b.holdout(spark, sf_dir), "lc", ["110", "122"])
-    return rounded(val.overall_metrics(subset))
+    return rounded(val.overall_metrics(b.holdout(spark, sf_dir)))
+
+
+#: three of four keys, by hash
+SOME_KEYS = "substr(md5(concat(station, ':', lc, ':', CAST(year AS STRING), ':', CAST(doy AS STRING))), 1, 1) < 'c'"
 
 
 @query(
     "backfill_target",
     with_tables(
         "holdout",
-        obs="SELECT station, year, lc, doy, date, min(ssm) AS obs FROM scenes WHERE angle < 35 GROUP BY ALL",
+        obs=f"SELECT station, year, lc, doy, date, min(ssm) AS obs FROM scenes WHERE {SOME_KEYS} GROUP BY ALL",
     )
     + """SELECT h.obs_id, round(h.ssm_pred, 6) AS ssm_pred, round(coalesce(CASE WHEN h.doy % 3 <> 0 THEN h.ssm END, o.obs), 6) AS ssm
       FROM holdout h LEFT JOIN obs o ON h.station = o.station AND h.year = o.year AND h.lc = o.lc AND h.doy = o.doy AND h.date = o.date""",
 )
 def backfill_target(spark, sf_dir):
-    """A third of the targets is missing; observations with low angles fill what they can."""
+    """A third of the targets is missing; three quarters of the keys were observed and fill what they can."""
     held = b.holdout(spark, sf_dir).withColumn("ssm", F.when(F.col("doy") % 3 != 0, F.col("ssm")))
-    observed = b.scenes(spark, sf_dir).filter("angle < 35")
+    observed = b.scenes(spark, sf_dir).filter(SOME_KEYS)
     return rounded(val.backfill_target(held, observed, "ssm").select("obs_id", "ssm_pred", "ssm"))
 
 
@@ -241,13 +272,15 @@ def distinct_keys_priority(spark, sf_dir):
 
 def _pairs(spark, sf_dir) -> DataFrame:
     held = b.holdout(spark, sf_dir)
-    return val.match_observed_predicted(held.filter("op = 0 AND doy < 40"), held.filter("op = 1"))
+    return val.match_observed_predicted(held.filter(f"op = 0 AND {OBSERVED}"), held.filter("op = 1"))
 
 
+#: whole keys of one crop in one year were never observed
+OBSERVED = "NOT (lc = '110' AND year = 1997)"
 PAIRS_SQL = (
-    "SELECT station, year, lc, date, 'observed' AS series, ssm AS value FROM holdout WHERE op = 0 AND doy < 40"
-    " UNION ALL SELECT station, year, lc, date, 'predicted', ssm_pred FROM holdout h WHERE op = 1 AND EXISTS ("
-    "SELECT 1 FROM holdout o WHERE o.op = 0 AND o.doy < 40 AND o.station = h.station AND o.year = h.year AND o.lc = h.lc)"
+    f"SELECT station, year, lc, date, 'observed' AS series, ssm AS value FROM holdout WHERE op = 0 AND {OBSERVED}"
+    f" UNION ALL SELECT station, year, lc, date, 'predicted', ssm_pred FROM holdout h WHERE op = 1 AND {OBSERVED} AND EXISTS ("
+    "SELECT 1 FROM holdout o WHERE o.op = 0 AND o.station = h.station AND o.year = h.year AND o.lc = h.lc)"
 )
 
 
@@ -315,9 +348,9 @@ def freeze_spans(spark, sf_dir):
     + " FROM scenes WHERE doy % 17 <> 0 GROUP BY station, year",
 )
 def crop_station_year_pivot(spark, sf_dir):
-    """Crop columns are read from the data; rows with a NULL crop drop out."""
+    """Rows with a NULL crop drop out."""
     scenes = b.scenes(spark, sf_dir).withColumn("lc", F.when(F.col("doy") % 17 != 0, F.col("lc")))
-    return val.crop_station_year_pivot(scenes)
+    return val.crop_station_year_pivot(scenes, b.CLASSES)
 
 
 @query(
@@ -397,14 +430,14 @@ def seasonal_curve(spark, sf_dir):
 @query(
     "daily_mean_and_sum_outer",
     with_tables("readings", wide=WIDE_SQL)
-    + """, t AS (SELECT CAST(date AS DATE) AS day, avg(sst) AS sst_daily FROM wide WHERE station = 'MB3' AND sst IS NOT NULL GROUP BY 1),
-      p AS (SELECT CAST(date AS DATE) AS day, sum(prcp) AS prcp_daily FROM wide WHERE station = 'MB3' AND prcp IS NOT NULL GROUP BY 1)
-      SELECT coalesce(t.day, p.day) AS day, round(sst_daily, 6) AS sst_daily, round(coalesce(prcp_daily, 0), 6) AS prcp_daily
-      FROM t FULL OUTER JOIN p ON t.day = p.day""",
+    + """, t AS (SELECT station, CAST(date AS DATE) AS day, avg(sst) AS sst_daily FROM wide WHERE sst IS NOT NULL GROUP BY 1, 2),
+      p AS (SELECT station, CAST(date AS DATE) AS day, sum(prcp) AS prcp_daily FROM wide WHERE prcp IS NOT NULL GROUP BY 1, 2)
+      SELECT station, day, round(sst_daily, 6) AS sst_daily, round(coalesce(prcp_daily, 0), 6) AS prcp_daily
+      FROM t FULL OUTER JOIN p USING (station, day)""",
 )
 def daily_mean_and_sum_outer(spark, sf_dir):
-    one = wide(spark, sf_dir).filter("station = 'MB3'")
-    return rounded(val.daily_mean_and_sum_outer(one.filter("sst IS NOT NULL"), one.filter("prcp IS NOT NULL")))
+    every = wide(spark, sf_dir)
+    return rounded(val.daily_mean_and_sum_outer(every.filter("sst IS NOT NULL"), every.filter("prcp IS NOT NULL"), by=["station"]))
 
 
 @query(

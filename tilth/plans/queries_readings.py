@@ -56,8 +56,8 @@ def write_raw_lines(files: DataFrame, path: str) -> None:
 LOGGER_HEAD = [
     "Bulk export,station data",
     "generated,2024-02-01 00:00:00",
-    ",Air Temp.Air temperature,Soil.Soil water content 0 to 5 cm,Soil.Soil temperature 5 cm depth,Rain.Precipitation totals",
-    '"Timestamp (UTC)",Value (Ã‚Â°C),"Value (m3/m3, raw)",Value (Â°C),Value (mm)',
+    ",Air Temp.Air temperature,Soil.Soil water content 0 to 5 cm,Soil.Soil temperature 5 cm depth,Rain.Precipitation totals,Logger.Battery",
+    '"Timestamp (UTC)",Value (Ã‚Â°C),"Value (m3/m3, raw)",Value (Â°C),Value (mm),Value (V)',
 ]
 
 
@@ -67,15 +67,15 @@ LOGGER_HEAD = [
     + """SELECT station, date AS ts, CASE sensor WHEN 'Air temperature' THEN 'Air temperature (°C)'
         WHEN 'Soil water content' THEN 'Soil water content 0 to 5 cm (m3/m3, raw)'
         WHEN 'Soil temperature' THEN 'Soil temperature 5 cm depth (°C)'
-        ELSE 'Precipitation totals (mm)' END AS "column", round(value, 6) AS value
-      FROM readings WHERE sensor <> 'Battery'""",
+        WHEN 'Battery' THEN 'Battery (V)' ELSE 'Precipitation totals (mm)' END AS "column", round(value, 6) AS value
+      FROM readings""",
 )
 def src_station_csv(spark, sf_dir):
-    """Logger files written from the readings (25,000 events' worth each), read back as cells."""
+    """Logger files written from the readings, one for each station and month, read back as cells."""
     events = b.readings(spark, sf_dir).withColumn(
-        "file", F.concat(F.lit("LOGGER_"), "station", F.lit("_"), F.floor(F.col("event_id") / 25000).cast("string"))
+        "file", F.concat(F.lit("LOGGER_"), "station", F.lit("_"), F.date_format("date", "yyyyMM"))
     )
-    order = ["Air temperature", "Soil water content", "Soil temperature", "Precipitation totals"]
+    order = ["Air temperature", "Soil water content", "Soil temperature", "Precipitation totals", "Battery"]
     cell = [F.when(F.col("sensor") == s, F.col("value").cast("string")).otherwise("") for s in order]
     data = events.select(
         "file", (F.col("event_id") + 10).alias("ord"), F.concat_ws(",", F.col("date").cast("string"), *cell).alias("line")
