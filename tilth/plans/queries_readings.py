@@ -11,7 +11,7 @@ from tilth.plans import bindings as b
 from tilth.plans.bindings import with_tables
 from tilth.plans.registry import query, rounded
 from tilth.schemas import READINGS_LONG, SCENES
-from tilth.session import scratch_path
+from tilth.session import delete_at_end, scratch_path
 from tilth.sources import sinks, tables
 from tilth.sources.csv_lines import read_scene_csv, read_station_csv
 
@@ -211,6 +211,16 @@ def sink_partitioned_incremental(spark, sf_dir):
     return rounded(spark.read.parquet(path).select(F.col("station").cast("string"), "event_id", "sensor", "value"))
 
 
+def json_files(df, number, key, value, spark) -> str:
+    """A folder of JSON files, each one object of up to 500 keys with their values."""
+    entries = F.map_from_entries(F.collect_list(F.struct(key, value)))
+    files = df.groupBy(F.floor(number / 500).alias("file")).agg(F.to_json(entries).alias("value"))
+    path = scratch_path(spark, "json")
+    files.write.partitionBy("file").text(path)
+    delete_at_end(spark, path)
+    return path
+
+
 @query(
     "src_texture_json",
     """SELECT concat('MB', CAST(c_custkey AS VARCHAR)) AS station, 5 AS depth_cm, round(1 + c_nationkey/CAST(100 AS DOUBLE), 6) AS bulk,
@@ -218,7 +228,7 @@ def sink_partitioned_incremental(spark, sf_dir):
         round(30/CAST(100 AS DOUBLE), 6) AS clay, c_mktsegment AS classification FROM customer""",
 )
 def src_texture_json(spark, sf_dir):
-    """One JSON document per customer, holding a station with two depths."""
+    """JSON files of stations with two depths, one station per customer, read back."""
 
     def layer(depth: int):
         n = F.col("c_nationkey").cast("double")
@@ -232,10 +242,14 @@ def src_texture_json(spark, sf_dir):
         )
 
     station = F.concat(F.lit("MB"), F.col("c_custkey").cast("string"))
-    documents = b.table(spark, sf_dir, "customer").select(
-        F.to_json(F.create_map(station, F.array(layer(5), layer(20)))).alias("json")
-    )
-    return rounded(tables.texture_rows(documents, 5))
+    customer = b.table(spark, sf_dir, "customer")
+    path = json_files(customer, F.col("c_custkey"), station, F.array(layer(5), layer(20)), spark)
+    return rounded(tables.read_texture_json(spark, path, 5))
+
+
+def bound_triplets():
+    triplet = F.array(F.col("p_size") / 100.0, F.lit(0.25), F.col("p_retailprice") / 5000.0)
+    return F.struct(*[triplet.alias(f"{p}bound") for p in ("c", "s", "l", "w")])
 
 
 @query(
@@ -246,21 +260,17 @@ def src_texture_json(spark, sf_dir):
       FROM points""",
 )
 def src_crop_tables(spark, sf_dir):
-    """Three JSON documents per part (base, stage and height tables), flattened and joined."""
+    """JSON files of base, stage, height and bound tables, a crop per part, read back and joined."""
     part = b.table(spark, sf_dir, "part")
     lc, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("double")
     points = F.array(*[F.array(size + 10.0 * i, F.col("p_retailprice") / 100 + float(i)) for i in range(3)])
     heights = F.array(
         *[F.array(F.col("p_retailprice") / 100 + float(i), size - float(i), F.lit(i / 4)) for i in range(3)]
     )
-    docs = part.select(
-        F.to_json(F.create_map(lc, size / 2)).alias("base_json"),
-        F.to_json(F.create_map(lc, points)).alias("stage_json"),
-        F.to_json(F.create_map(lc, F.struct(heights.alias("bbch_k_b")))).alias("height_json"),
-    )
-    stages = tables.stage_rows(docs, "stage_json")
-    heights_rows = tables.height_rows(docs, "height_json").select("lc", "seq", "k", "b")
-    joined = stages.join(tables.base_rows(docs, "base_json"), "lc").join(heights_rows, ["lc", "seq"])
+    values = (size / 2, points, F.struct(heights.alias("bbch_k_b")), bound_triplets())
+    crops = tables.read_crop_tables(spark, *[json_files(part, F.col("p_partkey"), lc, v, spark) for v in values])
+    heights_rows = crops["heights"].select("lc", "seq", "k", "b")
+    joined = crops["stages"].join(crops["base"], "lc").join(heights_rows, ["lc", "seq"])
     return rounded(joined.select("lc", "seq", "gdd", "stage", "base", "k", "b"))
 
 
@@ -272,17 +282,10 @@ def src_crop_tables(spark, sf_dir):
         round(CASE WHEN a = z THEN a + 0.000001 ELSE greatest(a, z) END, 6) AS hi FROM raw""",
 )
 def src_bounds_json(spark, sf_dir):
-    """One JSON document per part; many triplets are reversed or have the seed outside."""
-    triplet = F.array(F.col("p_size") / 100.0, F.lit(0.25), F.col("p_retailprice") / 5000.0)
-    docs = b.table(spark, sf_dir, "part").select(
-        F.to_json(
-            F.create_map(
-                F.col("p_partkey").cast("string"),
-                F.struct(*[triplet.alias(f"{p}bound") for p in ("c", "s", "l", "w")]),
-            )
-        ).alias("json")
-    )
-    return rounded(tables.bounds_rows(docs))
+    """JSON files of bounds, a crop per part; many triplets are reversed or have the seed outside."""
+    part = b.table(spark, sf_dir, "part")
+    path = json_files(part, F.col("p_partkey"), F.col("p_partkey").cast("string"), bound_triplets(), spark)
+    return rounded(tables.read_bounds_json(spark, path))
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilth.operators.inversion import validate_bounds
+from tilth.operators.lookup import non_increasing
 from tilth.schemas import FIT_PARAMS
 
 
@@ -103,11 +104,23 @@ def bounds_rows(documents: DataFrame, json: str = "json") -> DataFrame:
     )
 
 
+def read_bounds_json(spark: SparkSession, path: str) -> DataFrame:
+    return bounds_rows(_json_files(spark, path))
+
+
+def rising(points: DataFrame, key: str = "lc", seq: str = "seq", x: str = "gdd") -> DataFrame:
+    """The breakpoints, or an error that names a key whose breakpoints do not rise. Runs a job."""
+    bad = non_increasing(points, key, seq, x).first()
+    if bad is not None:
+        raise ValueError(f"breakpoints of {key} {bad[0]!r} do not rise in {x}")
+    return points
+
+
 def read_crop_tables(spark: SparkSession, base: str, stages: str, heights: str, bounds: str) -> dict[str, DataFrame]:
-    """The four crop tables from their JSON files."""
+    """The four crop tables from their JSON files; breakpoints must rise (runs a job)."""
     return {
         "base": base_rows(_json_files(spark, base)),
-        "stages": stage_rows(_json_files(spark, stages)),
+        "stages": rising(stage_rows(_json_files(spark, stages))),
         "heights": height_rows(_json_files(spark, heights)),
-        "bounds": bounds_rows(_json_files(spark, bounds)),
+        "bounds": read_bounds_json(spark, bounds),
     }
