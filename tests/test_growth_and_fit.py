@@ -10,9 +10,10 @@ from tilth.functions.physics import SURFACE_MODELS, ArrayMath, soil_backscatter
 from tilth.operators import inversion as inv
 from tilth.operators import phenology as ph
 from tilth.operators.lookup import non_increasing
+from tilth.operators.modelling import predict_holdout
 from tilth.plans import bindings as b
-from tilth.plans.pipeline import iterative_refinement
-from tilth.sources.sinks import IterationStore, checkpoint_id, latest_manifest
+from tilth.plans.pipeline import iterative_refinement, run_to_models
+from tilth.sources.sinks import checkpoint_id, IterationStore, latest_manifest, read_model
 
 SF = "/root/testdata/sf0.001"
 
@@ -154,6 +155,22 @@ def test_no_run_finds_the_passes_of_another(spark, tmp_path):
     assert at.latest(5) == 1 and anew.count() == fewer.count()
 
 
+def test_from_phenology_to_stored_models(spark, tmp_path):
+    at = store(spark, f"{tmp_path}/passes")
+    crops = {"heights": b.small(spark, "crop_height"), "bounds": b.small(spark, "bounds")}
+    metrics = run_to_models(b.pheno(spark, SF), crops, at, f"{tmp_path}/out", ("SSM", "s"))
+    for target, table in metrics.items():
+        row = table.first()
+        assert (row.checkpoint_identifier, row.checkpoint_iteration) == (at.identifier, 1) and row.rmse >= 0
+        held = spark.read.parquet(f"{tmp_path}/out/{target.lower()}/holdout")
+        again = read_model(f"{tmp_path}/out/{target.lower()}/model")
+        column = f"{target.lower()}_pred"
+        back = predict_holdout(again, held.withColumnRenamed(column, "before"), target)
+        assert not held.isEmpty() and back.filter(f"before <> {column}").isEmpty()
+        trees = spark.read.option("header", "true").csv(f"{tmp_path}/out/{target.lower()}/trees_csv").collect()
+        assert len(trees) == 15 and all("#" in t.tree for t in trees)
+
+
 def test_checkpoint_id_depends_on_models():
     a, c = checkpoint_id(5.4, "exp", {"RT_s": "SPM", "RT_c": "Diff"}), checkpoint_id(5.4, "exp", {"RT_s": "OH", "RT_c": "Diff"})
     assert a.startswith("config-") and len(a) == 19

@@ -13,10 +13,18 @@ from pyspark.sql import functions as F
 from tilth.functions.columns import mean_ignoring_null, to_number
 from tilth.operators import phenology, readings, scenes, timeseries
 from tilth.operators.inversion import derive_bounds, invert_once
+from tilth.operators.modelling import train_targets, tree_table_export
 from tilth.schemas import READINGS, READINGS_LONG, SCENES, conform
 from tilth.session import materialize
 from tilth.sources.csv_lines import read_scene_csv, read_station_csv
-from tilth.sources.sinks import IterationStore, table_digest
+from tilth.sources.sinks import (
+    IterationStore,
+    attach_manifest,
+    latest_manifest,
+    table_digest,
+    write_model,
+    write_stage,
+)
 
 MEASURES = ("SSM", "SST", "AIRT", "PRCP")
 
@@ -133,3 +141,35 @@ def run_to_phenology(
     reading_table = materialize(load_readings(long_readings(wide), texture), "readings")
     scene_table = materialize(load_scenes(read_scene_csv(spark, scene_files)), "scenes")
     return phenology_table(scene_table, reading_table, crop_tables["base"], crop_tables["stages"])
+
+
+def run_to_models(
+    pheno: DataFrame,
+    crop_tables: dict,
+    store: IterationStore,
+    out: str,
+    targets: Sequence[str] = ("SSM", "vvs", "s"),
+    iterations: int = 1,
+    holdout_by_year: bool = True,
+) -> dict[str, DataFrame]:
+    """From the phenology table to stored forests. Returns the metrics of each target.
+
+    Below ``out``: the refined table, and for each target its model, the rows held
+    out with their predictions, the trees as text (Parquet and CSV), and its
+    metrics with the checkpoint they rest on.
+    """
+    spark = pheno.sparkSession
+    results = iterative_refinement(pheno, crop_tables["heights"], crop_tables["bounds"], iterations, store)
+    write_stage(results, f"{out}/inversion")
+    manifest = latest_manifest(spark, store.root)
+    metrics = {}
+    for target, fit in train_targets(spark.read.parquet(f"{out}/inversion"), targets, holdout_by_year).items():
+        folder = f"{out}/{target.lower()}"
+        write_model(fit["model"], f"{folder}/model")
+        write_stage(fit["holdout"], f"{folder}/holdout")
+        trees = tree_table_export(spark, fit["model"])
+        write_stage(trees, f"{folder}/trees")
+        write_stage(trees, f"{folder}/trees_csv", fmt="csv")
+        write_stage(attach_manifest(fit["metrics"], manifest), f"{folder}/metrics")
+        metrics[target] = spark.read.parquet(f"{folder}/metrics")
+    return metrics
