@@ -74,4 +74,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
 }
-ORACLES: dict[str, str] = {}
+#: The others rest on learned models, tokenizers, hashes or on text work that is too slow in SQL; tests hold them against brute force.
+ORACLES: dict[str, str] = {
+    "op8_cap_filters": """
+      WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL),
+      sound AS (SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+      links AS (SELECT a.vec_id AS u, b.vec_id AS w FROM sound a JOIN sound b ON a.vec_id <> b.vec_id
+        AND CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.95 ELSE false END),
+      reach AS (SELECT vec_id AS u, vec_id AS low FROM v UNION SELECT l.u, r.low FROM reach r JOIN links l ON l.w = r.u),
+      found AS (SELECT u, min(low) AS component_id FROM reach GROUP BY u),
+      counts AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+      SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+      FROM v JOIN found f ON f.u = vec_id LEFT JOIN counts c ON c.u = vec_id""",
+}
