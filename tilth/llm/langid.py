@@ -28,7 +28,7 @@ ROUNDS, PRIOR = 4, 0.05
 #: Documents learned from in each language: their expected number, drawn by a hash of the id.
 SAMPLE = 1500
 #: Words a worker remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 

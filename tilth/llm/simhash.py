@@ -27,7 +27,7 @@ SHINGLE, SEED, BITS = 4, 42, 4
 TURNS, SEGMENTS = (0, 21, 42), (21, 21, 22)
 CELL = 4096
 MOST_DEPTH = 20
-FRONTIER = 1 << 20
+FRONTIER = 1 << 17
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:

@@ -10,7 +10,7 @@ import numpy as np
 from tilth.llm.words import chunks, span_hash
 
 #: Stretches remembered by a worker before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 #: Bytes that may stand before a cut: none that ends a character which counts as blank.
 _before = np.ones(256, bool)
 _before[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF, *range(0x80, 0x8B)]] = False

@@ -8,6 +8,8 @@ import numpy as np
 
 #: The base of the span hashes and its inverse modulo 2^64; any odd base has one.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Bytes hashed at a time.
+STRETCH = 1 << 18
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -31,7 +33,18 @@ def _power(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hash(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """64-bit hash of each span's bytes, the same wherever the span stands."""
+    """64-bit hash of each span's bytes, the same wherever the span stands. Starts and ends rise."""
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):  # a stretch of the buffer at a time, a span at least
+        a = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, a + STRETCH, side="right")))
+        out[i:j] = _hashes(buffer[a : ends[j - 1]], starts[i:j] - a, ends[i:j] - a, which)
+        i = j
+    return out
+
+
+def _hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
     up, down = _power(which, len(buffer) + 1)
     sums = np.zeros(len(buffer) + 1, np.uint64)
     np.cumsum(_codes[which][buffer] * up[: len(buffer)], out=sums[1:])
@@ -57,7 +70,7 @@ def word_spans(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
 
 
-def chunks(texts: list[bytes], most: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def chunks(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``most`` bytes each, one text at least."""
     first = size = 0
     for i, t in enumerate(texts):
