@@ -32,7 +32,9 @@ LENGTH = 50
 GRAM = 24
 COVER, PERIOD, RANKED = (0, 1, 2, 4), 8, 43
 #: Positions hashed and suffixes sorted at a time; input bytes for each bucket.
-SLICE, SORTED, SHARE = 1 << 18, 1 << 20, 6 << 20
+SLICE, SORTED, SHARE = 1 << 18, 1 << 18, 6 << 20
+#: Bytes of text in a block.
+BLOCK = 2 << 20
 _covered = np.isin(np.arange(PERIOD), COVER)
 _odd = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -332,7 +334,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     source = pick(docs, doc_id=id_col, text=text_col)
     source = source.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(True).alias("flag"))
-    blocks = write_blocks(source)
+    blocks = write_blocks(source, BLOCK)
     size = blocks.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(4, 2 * size // SHARE)
     blocks = with_answers(blocks, written(answers(asks(blocks, ask_keys(buckets)), answer_keys), "keys"), "keys")
