@@ -95,6 +95,15 @@ def test_counts_from_scanned_files(spark, tokenizer):
     assert token_files.token_counts(token_files.write_tokens(docs.where("false"), BPE)).count() == 0
 
 
+def test_texts_that_spell_the_end_of_text_are_counted(spark, tokenizer):
+    texts = ["<|endoftext|>", "a <|endoftext|> b<|endoftext|>", "<|endoftext|>" * 40, "plain", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    for block in (5, 1 << 19):
+        store = token_files.write_tokens(docs, BPE, RANKS, block=block)
+        assert {r.doc_id: r.n_tokens for r in token_files.token_counts(store).collect()} == want
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_scan_matches_splitting(spark, seed):
     rng = np.random.default_rng(seed)

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from tilth.llm.common import pick, raw
 from tilth.llm.tokens import encoder
 
-END = 50256
+#: No id of the vocabularies here, nor of their added tokens: a text may hold the literal of any of them.
+END = 65535
 BLOCK = 1 << 19
 
 
@@ -29,7 +30,9 @@ def write_tokens(docs: DataFrame, path: str, ranks: str | None = None, end: int
 
     Every block but a file's last holds ``block`` tokens. The rows with tokens null list the
     ids of the file's documents in order. Tokens are little-endian, 16 bits if the vocabulary
-    and the end mark allow, else 32. A null text has no tokens.
+    and the end mark allow, else 32. A null text has no tokens. A text that spells an added
+    token, such as <|endoftext|>, holds that token's id like the tokenizer gives it; an ``end``
+    that is an id of the vocabulary is refused if a text holds it.
     """
     source = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
 
