@@ -3,8 +3,10 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pytest
+import zstandard
 
 from tilth.llm import suffix_dedup
+from tilth.llm.blocks import Block
 from tilth.llm.suffix_dedup import least_documents, remove_repeats
 
 
@@ -68,6 +70,36 @@ def test_matches_brute_force(spark, seed, sorted_, monkeypatch):
     assert got == plain(ids, texts)
 
 
+def test_a_group_grows_with_blocks_not_with_documents(monkeypatch):
+    rng = np.random.default_rng(5)
+    line, *texts = ("".join(map(chr, rng.integers(97, 123, n))) for n in [120] + [100] * 400)
+    texts = [a + line + b for a, b in zip(texts[:200], texts[200:])]
+    blocks = []
+    for n in (0, 1):
+        own = [t.encode() for t in texts[100 * n : 100 * n + 100]]
+        columns = np.arange(100) + 100 * n, np.zeros(100, np.uint8), np.array(list(map(len, own)))
+        blocks.append(Block(n, *(c.tobytes() for c in columns), zstandard.compress(b"".join(own))))
+    sizes = []
+    monkeypatch.setattr(suffix_dedup, "SORTED", 300)
+    monkeypatch.setattr(suffix_dedup, "least_documents", lambda pool, suffix, doc: sizes.append(len(suffix)) or least_documents(pool, suffix, doc))
+
+    def told(ask, answer, *before):
+        asked, out = {}, ([], [])
+        for block in blocks:
+            for bucket, blob in ask(block, *(b[block.number] for b in before)):
+                asked.setdefault(bucket, []).append((block.number, blob))
+        for bucket in sorted(asked):
+            for (n, _), blob in zip(asked[bucket], answer(bucket, [b for _, b in asked[bucket]])):
+                out[n].append((bucket, blob))
+        return out
+
+    keys = told(suffix_dedup.ask_keys(4), suffix_dedup.answer_keys)
+    pieces = told(suffix_dedup.ask_pieces(4), suffix_dedup.answer_pieces, keys)
+    assert max(sizes) <= 2 * 300  # what fits, and the rest of the last group
+    rows = [r for b in blocks for part in suffix_dedup.cut(4, False)(b, keys[b.number], pieces[b.number]) for r in part.to_pylist()]
+    assert [tuple(r.values()) for r in rows] == plain(range(200), texts)
+
+
 def test_repeated_rows_empty_and_null_ids(spark):
     long = "".join(chr(97 + i * i % 26) for i in range(90))
     docs = spark.createDataFrame([(1, long), (1, long), (2, long), (None, long)], "doc_id long, text string")

@@ -4,7 +4,10 @@ A byte goes if it lies in a string of 50 bytes that also starts in a document wi
 id. Suffixes are dealt to buckets by the smallest hash of the 24-byte strings in their first
 50 bytes: equal beginnings have equal smallest hashes, and neighbours mostly share one, so a
 run of suffixes travels as one piece of text. First the blocks ask which of these hashes
-occur in two documents; only runs with such a hash are sorted.
+occur in two documents; only runs with such a hash are sorted. If more suffixes have a hash
+than are sorted at a time, they are dealt on one by one, by a hash of their first 50 bytes,
+and of equal ones a block sends only that of its smallest document: at the edges of a passage
+runs hold bytes of the document's own, so as runs they would come once for each document.
 
 A bucket sorts its suffixes by their first 8 bytes. Longer ties are resolved by a difference
 cover modulo 8: positions whose residue is 0, 1, 2 or 4 are ranked beforehand to 43 bytes,
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +39,8 @@ COVER, PERIOD, RANKED = (0, 1, 2, 4), 8, 43
 SLICE, SORTED, SHARE = 1 << 18, 1 << 18, 6 << 20
 #: Bytes of text in a block.
 BLOCK = 2 << 20
+#: What a suffix sent by itself costs to sort, in suffixes of a run.
+SINGLE = 10
 _covered = np.isin(np.arange(PERIOD), COVER)
 _odd = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -90,85 +96,93 @@ def runs(text: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def _distinct_keys(block: Block) -> tuple:
-    """The block's runs, its distinct keys, each run's key number, and whether a key is in two documents here."""
+    """The block's runs, its distinct keys, each run's key number, whether a key is in two documents here, and its suffixes."""
     key, start, count, doc = runs(block.text, block.lengths)
     distinct, place = np.unique(key, return_inverse=True)
     low = np.full(len(distinct), np.iinfo(np.int64).max)
     high = np.full(len(distinct), np.iinfo(np.int64).min)
     np.minimum.at(low, place, block.ids[doc])
     np.maximum.at(high, place, block.ids[doc])
-    return start, count, doc, distinct, place, low < high
+    return start, count, doc, distinct, place, low < high, np.bincount(place, count, len(distinct)).astype(np.uint32)
 
 
 def ask_keys(buckets: int):
     def fn(block: Block) -> Iterable[tuple[int, bytes]]:
-        _, _, _, distinct, _, twice = _distinct_keys(block)
+        _, _, _, distinct, _, twice, size = _distinct_keys(block)
         short = distinct >> np.uint64(16)  # 48 bits; a chance hit only sorts a run for nothing
         for bucket, s in by_bucket(hash_bucket(distinct, buckets)):
-            yield bucket, squeeze(np.diff(short[s], prepend=np.uint64(0)), twice[s].astype(np.uint8))
+            yield bucket, squeeze(np.diff(short[s], prepend=np.uint64(0)), twice[s].astype(np.uint8), size[s])
 
     return fn
 
 
-def answer_keys(bucket: int, blobs: list[bytes]) -> Iterator[bytes]:
-    """For each key asked, whether it is in two documents."""
+def answer_keys(bucket: int, blobs: list[bytes], most: int | None = None) -> Iterator[bytes]:
+    """For each key asked, whether it is in two documents, and whether more than ``most`` suffixes have it."""
     lists = []
     for blob in blobs:
-        step, twice = expand(blob)
-        lists.append((np.cumsum(step, dtype=np.uint64), twice))
-    every = np.concatenate([k for k, _ in lists])
+        step, twice, size = expand(blob)
+        lists.append((np.cumsum(step, dtype=np.uint64), twice, size))
+    every = np.concatenate([k for k, _, _ in lists])
     order = np.argsort(every, kind="stable")
     new = np.ones(len(every), bool)
     new[1:] = np.diff(every[order]) > 0
     group = np.cumsum(new) - 1
     times = np.bincount(group)
-    inside = np.bincount(group, np.concatenate([t for _, t in lists])[order])
-    hit = np.empty(len(every), bool)
+    inside = np.bincount(group, np.concatenate([t for _, t, _ in lists])[order])
+    total = np.bincount(group, np.concatenate([n for _, _, n in lists])[order])
+    hit, many = np.empty(len(every), bool), np.empty(len(every), bool)
     hit[order] = ((times > 1) | (inside > 0))[group]
+    many[order] = (total > (most or SORTED))[group]
     at = 0
-    for k, _ in lists:
-        yield squeeze(np.packbits(hit[at : at + len(k)]))
+    for k, _, _ in lists:
+        yield squeeze(np.packbits(hit[at : at + len(k)]), np.packbits(many[at : at + len(k)]))
         at += len(k)
 
 
 def _chosen(block: Block, told: list[tuple[int, bytes]], buckets: int) -> tuple:
     """Runs to be sorted, and which of them stand for equal pieces of text.
 
-    (start, count, doc) of the runs, each one's piece number; and of the pieces, in the order
-    asked: bucket, the run that shows the text, the smallest document.
+    (start, count, doc) of the runs, each one's piece number, whether it is a suffix dealt by
+    itself; and of the pieces, in the order asked: bucket, the run that shows the text.
     """
-    start, count, doc, distinct, place, _ = _distinct_keys(block)
-    hit = np.zeros(len(distinct), bool)
+    start, count, doc, distinct, place, _, _ = _distinct_keys(block)
+    hit, many = np.zeros(len(distinct), bool), np.zeros(len(distinct), bool)
     said = dict(told)
     for bucket, s in by_bucket(hash_bucket(distinct, buckets)):
         if bucket in said:
             n = s.stop - s.start
-            hit[s] = np.unpackbits(expand(said[bucket])[0], count=n).astype(bool)
+            hit[s], many[s] = (np.unpackbits(bits, count=n).astype(bool) for bits in expand(said[bucket]))
     run = np.flatnonzero(hit[place])
-    start, count, doc, place = start[run], count[run], doc[run], place[run]
+    single = many[place[run]]
+    times = np.where(single, count[run], 1)
+    within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    run, single = np.repeat(run, times), np.repeat(single, times)
+    start, count, doc, place = start[run] + within, np.where(single, 1, count[run]), doc[run], place[run]
     buffer = np.frombuffer(block.text, np.uint8)
     ends = start + count + LENGTH - 1
     one, two = (span_hash(buffer, start, ends, w) for w in (0, 1)) if len(run) else (np.zeros(0, np.uint64),) * 2
-    order = np.lexsort((block.ids[doc], two, one, count, place))
+    group = np.where(single, one, distinct[place])
+    order = np.lexsort((block.ids[doc], two, one, count, group))
     differ = np.ones(len(order), bool)
-    for a in (one, two, count, place):
+    for a in (one, two, count, group):
         differ[1:] &= a[order][1:] == a[order][:-1]
     differ[1:] = ~differ[1:]
     piece = np.empty(len(order), np.int64)
     piece[order] = np.cumsum(differ) - 1
     shown = order[differ]  # the run with the smallest document of each piece
-    return start, count, doc, piece, hash_bucket(distinct[place[shown]], buckets), shown
+    return start, count, doc, piece, single, hash_bucket(group[shown], buckets), shown
 
 
 def ask_pieces(buckets: int):
     def fn(block: Block, told: list[tuple[int, bytes]]) -> Iterable[tuple[int, bytes]]:
-        start, count, doc, _, bucket, shown = _chosen(block, told, buckets)
+        start, count, doc, _, single, bucket, shown = _chosen(block, told, buckets)
         buffer = np.frombuffer(block.text, np.uint8)
         for number, s in by_bucket(bucket):
             some = shown[s]
             size = count[some] + LENGTH - 1
             flat = np.arange(size.sum()) + np.repeat(start[some] - np.cumsum(size) + size, size)
-            yield number, squeeze(np.diff(block.ids[doc[some]], prepend=0), count[some].astype(np.uint32), buffer[flat])
+            told_as = np.where(single[some], 0, count[some]).astype(np.uint32)
+            yield number, squeeze(np.diff(block.ids[doc[some]], prepend=0), told_as, buffer[flat])
 
     return fn
 
@@ -224,8 +238,8 @@ def least_documents(pool: np.ndarray, suffix: np.ndarray, doc: np.ndarray) -> np
     return least
 
 
-def answer_pieces(bucket: int, blobs: list[bytes]) -> Iterator[bytes]:
-    """For each suffix of each piece, whether a smaller document has its first 50 bytes."""
+def answer_pieces(bucket: int, blobs: list[bytes], most: int | None = None) -> Iterator[bytes]:
+    """For each suffix of each piece, whether a smaller document has its first 50 bytes; a count of 0 is a suffix dealt by itself."""
     lists = []
     for blob in blobs:
         step, count, text = expand(blob)
@@ -233,19 +247,24 @@ def answer_pieces(bucket: int, blobs: list[bytes]) -> Iterator[bytes]:
     doc = np.concatenate([d for d, _, _ in lists])
     count = np.concatenate([c for _, c, _ in lists])
     text = np.concatenate([t for _, _, t in lists])
+    lists = [np.maximum(c, 1) for _, c, _ in lists]
     del blobs
+    single = count == 0
+    count = np.maximum(count, 1)
     size = count + LENGTH - 1
     start = np.cumsum(size) - size
-    # one smallest hash at a time would do; as many as fit are sorted together
+    # one smallest hash, or one hash of 50 bytes, at a time would do; as many as fit are sorted together
     padded = np.concatenate([text, np.zeros(64, np.uint8)])
-    key = _piece_keys(padded, start)
+    key = np.empty(len(start), np.uint64)
+    key[~single] = _piece_keys(padded, start[~single])
+    key[single] = span_hash(padded, start[single], start[single] + LENGTH)
     order = np.argsort(key, kind="stable")
-    total = np.cumsum(count[order])
+    total = np.cumsum(np.where(single, SINGLE, count)[order])
     hit = np.zeros(int(count.sum()), bool)
     offset = np.cumsum(count) - count
     a = 0
     while a < len(order):
-        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + SORTED, side="right")))
+        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + (most or SORTED), side="right")))
         while b < len(order) and key[order[b]] == key[order[b - 1]]:
             b += 1
         some = order[a:b]
@@ -259,7 +278,7 @@ def answer_pieces(bucket: int, blobs: list[bytes]) -> Iterator[bytes]:
         hit[np.repeat(offset[some], n) + within] = low < owner
         a = b
     at = 0
-    for d, c, _ in lists:
+    for c in lists:
         n = int(c.sum())
         yield squeeze(np.packbits(hit[at : at + n]))
         at += n
@@ -279,7 +298,7 @@ def _piece_keys(padded: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 def cut(buckets: int, with_text: bool):
     def fn(block: Block, keys: list[tuple[int, bytes]], told: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
-        start, count, doc, piece, bucket, shown = _chosen(block, keys, buckets)
+        start, count, doc, piece, _, bucket, shown = _chosen(block, keys, buckets)
         n = len(block.text)
         edge = np.zeros(n + 1, np.int32)
         said = dict(told)
@@ -337,8 +356,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = write_blocks(source, BLOCK)
     size = blocks.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(4, 2 * size // SHARE)
-    blocks = with_answers(blocks, written(answers(asks(blocks, ask_keys(buckets)), answer_keys), "keys"), "keys")
-    blocks = with_answers(blocks, written(answers(asks(blocks, ask_pieces(buckets)), answer_pieces), "pieces"), "pieces")
+    blocks = with_answers(blocks, written(answers(asks(blocks, ask_keys(buckets)), partial(answer_keys, most=SORTED)), "keys"), "keys")
+    blocks = with_answers(blocks, written(answers(asks(blocks, ask_pieces(buckets)), partial(answer_pieces, most=SORTED)), "pieces"), "pieces")
     last = "kept_text string" if with_text else "kept_sha256 string"
     return each_block(blocks, cut(buckets, with_text), f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
 
