@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 
-from tilth.llm.cotrain import META, TEXT, Judge, meta_view, quality, text_view
+from tilth.llm.cotrain import META, TEXT, Judge, meta_view, quality, text_view, train
 
 DOCS = "doc_id long, text string, source string, lang string, n_chars long, score string"
 
@@ -45,6 +45,16 @@ def test_views_teach_each_other():
     assert ((judge.score((view(hidden), view(hidden)))[:, 2] >= 0.5) == hidden).mean() > 0.97
 
 
+def test_every_unlabelled_document_can_be_named(spark):
+    kinds = {"good": "plain words in a row here.", "bad": "plain### words### in### a### row###", "mid": "nothing to see for either view"}
+    rows = [(i, kinds[("good", "bad", "mid")[i % 3]]) for i in range(1500)]
+    told = [(i, float((1, 0, i // 12 % 2)[i % 3])) for i in range(1500)]
+    rows += [(5000 + i, kinds["good" if i % 500 == 7 else "mid"]) for i in range(20000)]
+    docs = spark.createDataFrame([(i, t, "s", "en", 30.0) for i, t in rows], "doc_id long, text string, source string, lang string, n_chars double")
+    judge = train(docs, spark.createDataFrame(told, "doc_id long, quality double"))
+    assert judge.named[0] == 40
+
+
 def test_few_or_no_labels(spark):
     rows, labels = corpus(20)
     docs = spark.createDataFrame(rows + rows[:1], DOCS)

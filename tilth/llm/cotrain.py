@@ -1,8 +1,8 @@
 """Quality by co-training: a text view and a metadata view teach each other, then judge together.
 
-Each view has a logistic regression of its own. In every round either one names the
-unlabelled documents it is surest of, good and bad in the proportion of the labels, and
-they join the training set of the other. In the end each view's score is calibrated on
+Each view has a logistic regression of its own. In every round either one scores all
+unlabelled documents and names those it is surest of, good and bad in the proportion of the
+labels; of these a bounded number, drawn by hash, joins the training set of the other. In the end each view's score is calibrated on
 labelled documents it never saw, and a last regression on the two calibrated scores
 combines them.
 """
@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilth.llm.common import pick, raw, written
+from tilth.llm.common import forget, pick, raw, written
 from tilth.llm.words import LOWER, joined, span_hash, word_spans
 
-#: Documents learned from: the expected numbers of labelled and of unlabelled ones, drawn by a hash of the id.
-LABELLED, UNLABELLED = 6000, 6000
+#: Rows of the fit: the expected number of labelled ones, drawn by a hash of the id, and the most that a view adds to the other's in a round.
+LABELLED, ADDED = 6000, 300
 ROUNDS, NAMED, SURE = 4, 0.05, 0.95
 #: Share of the labelled documents kept for calibration.
 APART = 0.25
@@ -104,16 +104,21 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 class Judge:
     """Both views' regressions, their calibrations, and the last one over both."""
 
-    def __init__(self, views: tuple[np.ndarray, np.ndarray], y: np.ndarray, apart: np.ndarray, others: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS):
+    def __init__(self, views: tuple[np.ndarray, np.ndarray], y: np.ndarray, apart: np.ndarray, others: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS, told: tuple = ()):
+        """told: for each view (rows, labels) that the other one has named already."""
         self.prior = float(y.mean()) if len(y) else None
         self.models = None
+        self.named = [0, 0]
         learn = ~apart
         if min(np.bincount(y[learn].astype(int), minlength=2)) < 5 or min(np.bincount(y[apart].astype(int), minlength=2)) < 5:
             return
         sets = [[v[learn]] for v in views]
         labels = [[y[learn]], [y[learn]]]
+        for k, (rows, said) in enumerate(told):
+            sets[k].append(rows)
+            labels[k].append(said)
+            self.named[1 - k] = len(said)
         free = [np.ones(len(others[0]), bool), np.ones(len(others[0]), bool)]
-        self.named = [0, 0]
         for _ in range(rounds):
             self._fit(sets, labels, views, y, apart)
             for k in (0, 1):
@@ -157,40 +162,100 @@ def _views(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return text_view(raw(part.column("text"))), meta_view(*(part.column(c).to_pylist() for c in ("source", "lang", "n_chars")))
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> Judge:
-    """Learns from a bounded sample of both kinds, in one task; runs jobs. docs: as ``quality`` selects them."""
-    ids = docs.select("doc_id").distinct()
-    known = ids.join(labels, "doc_id")
-    unknown = ids.join(labels, "doc_id", "left_anti")
-    n, m = known.count(), unknown.count()
-    drawn = known.where(_draw(3) * n < labelled).select("doc_id", "quality").union(unknown.where(_draw(5) * m < unlabelled).select("doc_id", F.lit(None).cast("double")))
-    drawn = written(drawn, "sample")
+def _features(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, quality, pupil, views) of documents that have the first four."""
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            text, meta = _views(part)
-            both = [v.tobytes() for v in np.concatenate([text, meta], axis=1)]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), pa.array(both, pa.binary())], names=["doc_id", "quality", "views"])
+            both = [v.tobytes() for v in np.concatenate(_views(part), axis=1)]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "mark", "quality", "pupil")), pa.array(both, pa.binary())], names=["doc_id", "mark", "quality", "pupil", "views"])
 
-    def fit(sample: pd.DataFrame) -> pd.DataFrame:
-        import pickle
+    columns = docs.select("doc_id", "mark", "quality", "pupil", "text", "source", "lang", "n_chars")
+    return columns.mapInArrow(rows, "doc_id long, mark long, quality double, pupil int, views binary")
 
-        sample = sample.sort_values("doc_id")
-        x = np.frombuffer(b"".join(sample["views"]), np.float32).reshape(len(sample), TEXT + META)
-        quality = sample["quality"].to_numpy(float)
-        has = ~np.isnan(quality)
-        apart = np.arange(int(has.sum())) % round(1 / APART) == 0
-        judge = Judge((x[has, :TEXT], x[has, TEXT:]), quality[has], apart, (x[~has, :TEXT], x[~has, TEXT:]))
-        return pd.DataFrame({"model": [pickle.dumps(judge)]})
 
+def _fit(lessons: DataFrame) -> Judge:
+    """Both views learn in one task from rows of ``_features``; pupil is the view that a row was named for, -1 for a labelled one."""
     import pickle
 
-    featured = docs.join(drawn, "doc_id").select("doc_id", "text", "source", "lang", "n_chars", "quality").mapInArrow(rows, "doc_id long, quality double, views binary")
-    found = featured.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(fit, "model binary").collect()
     none = np.zeros((0, TEXT)), np.zeros((0, META))
+
+    def fit(sample: pd.DataFrame) -> pd.DataFrame:
+        sample = sample.sort_values(["doc_id", "mark"])
+        x = np.frombuffer(b"".join(sample["views"]), np.float32).reshape(len(sample), TEXT + META)
+        views, y, pupil = (x[:, :TEXT], x[:, TEXT:]), sample["quality"].to_numpy(float), sample["pupil"].to_numpy()
+        has = pupil < 0
+        apart = np.arange(int(has.sum())) % round(1 / APART) == 0
+        told = tuple((v[pupil == k], y[pupil == k]) for k, v in enumerate(views))
+        return pd.DataFrame({"model": [pickle.dumps(Judge((views[0][has], views[1][has]), y[has], apart, none, 0, told))]})
+
+    found = lessons.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(fit, "model binary").collect()
     return pickle.loads(found[0]["model"]) if found else Judge(none, np.zeros(0), np.zeros(0, bool), none)
 
 
+def _named(docs: DataFrame, labels: DataFrame, judge: Judge, m: int, taken: tuple[set, set], added: int, number: int) -> DataFrame:
+    """(doc_id, mark, quality, pupil): of the m unlabelled documents those that each view names for the other; runs jobs.
+
+    Of a class a view names the surest ``NAMED`` of its share of all, if it is sure of so many.
+    ``added`` bounds the rows of both classes that are drawn from these. taken: marks that a view was given before.
+    """
+    least = float(np.log(SURE / (1 - SURE)))
+    gone = [np.array(sorted(t), np.int64) for t in taken]
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for at in range(0, part.num_rows, 256):
+                rows = part.slice(at, 256)
+                views = _views(rows)
+                mark = rows.column("mark").to_numpy()
+                z = [np.where(np.isin(mark, gone[1 - k]), 0, judge._calibrated(k, views[k])) for k in (0, 1)]
+                some = pa.array(np.maximum(np.abs(z[0]), np.abs(z[1])) >= least)
+                out = pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("mark"), *map(pa.array, z)], names=["doc_id", "mark", "z0", "z1"])
+                yield out.filter(some)
+
+    sure = docs.mapInArrow(run, "doc_id long, mark long, z0 double, z1 double").join(labels, "doc_id", "left_anti")
+    sure = written(sure.dropDuplicates(["doc_id", "mark"]), "sure")
+    kinds = [(k, good, F.col(f"z{k}") * (1 if good else -1), judge.prior if good else 1 - judge.prior) for k in (0, 1) for good in (1.0, 0.0)]
+    most = [max(1, int(NAMED * share * m)) for *_, share in kinds]
+    counts = sure.agg(*[F.count_if(z >= least) for _, _, z, _ in kinds]).first()
+    limits = sure.agg(*[F.percentile_approx(F.when(z >= least, z), max(0.0, 1 - n / max(1, c)), 10_000) for (_, _, z, _), n, c in zip(kinds, most, counts)]).first()
+    chosen = None
+    for (k, good, z, share), n, limit in zip(kinds, most, limits):
+        cap = max(1, int(added * share))
+        own = sure.where(z >= (least if limit is None else max(least, limit)))
+        order = [z.desc(), F.col("mark")] if n <= cap else [F.xxhash64("mark", F.lit(number))]
+        own = own.orderBy(*order).limit(min(n, cap)).select("doc_id", "mark", F.lit(good).alias("quality"), F.lit(1 - k).alias("pupil"))
+        chosen = own if chosen is None else chosen.union(own)
+    chosen = written(chosen, "named")
+    forget(sure)
+    return chosen
+
+
+def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, added: int = ADDED) -> Judge:
+    """Learns in one task from a bounded sample of the labelled rows and from rows named among all others, which Spark scores in every round; runs jobs.
+
+    docs: as ``quality`` selects them. Equal rows of one document are named once.
+    """
+    columns = ("doc_id", "text", "source", "lang", "n_chars")
+    docs = docs.select(*columns, F.xxhash64(*columns, *(F.col(c).isNull() for c in columns)).alias("mark"))
+    labels = written(labels.select("doc_id", "quality"), "labels")
+    known = docs.select("doc_id").distinct().join(labels, "doc_id")
+    n = known.count()
+    m = docs.select("doc_id").join(labels, "doc_id", "left_anti").count()
+    drawn = written(known.where(_draw(3) * n < labelled).select("doc_id", "quality", F.lit(-1).alias("pupil")), "sample")
+    lessons = written(_features(docs.join(drawn, "doc_id")), "lessons")
+    judge = _fit(lessons)
+    taken: tuple[set, set] = set(), set()
+    for number in range(ROUNDS if judge.models is not None and m else 0):
+        named = _named(docs, labels, judge, m, taken, added, number)
+        for row in named.collect():
+            taken[row["pupil"]].add(row["mark"])
+        more = _features(docs.join(named, ["doc_id", "mark"])).dropDuplicates(["doc_id", "mark", "pupil"])
+        lessons = lessons.union(written(more, "lessons"))
+        judge = _fit(lessons)
+    return judge
+
+
 def quality(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """(doc_id, text_score, meta_score, score, kept) of every document with an id; runs jobs.
 
