@@ -12,6 +12,9 @@ COLUMNS = {
     "op8_cap_filters": {"vec_id", "n_links", "component_id", "kept"},
     "op9_language_id": {"doc_id", "held_out", "lang_pred", "score"},
     "op10_simhash": {"doc_id", "fingerprint", "component_id"},
+    "op11_bisector_clusters": {"vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"},
+    "op12_merkle_manifest": {"doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"},
+    "op13_licence_notices": {"doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"},
 }
 
 
@@ -19,7 +22,7 @@ COLUMNS = {
 def test_query_covers_its_table(spark, name):
     got = QUERIES[name](spark, SF)
     assert COLUMNS.get(name, set()) <= set(got.columns)
-    key, table = ("vec_id", "embeddings") if name.startswith("op8") else ("doc_id", "documents")
+    key, table = ("vec_id", "embeddings") if name.startswith(("op8", "op11")) else ("doc_id", "documents")
     ids = spark.read.parquet(f"{SF}/{table}.parquet").select(key)
     assert got.select(key).distinct().count() == ids.count()
 
