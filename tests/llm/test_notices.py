@@ -88,8 +88,8 @@ def test_spans_are_those_of_the_text():
         ("gpl", "GENERAL-Public license", 0, True),
         ("mit", "mit license", 0, True),
     ]
-    own = WORD.findall(text)
-    assert [" ".join(own[h["word_from"] : h["word_to"]]) for h in hits] == ["MIT Licence", "GENERAL Public license", "mit license"]
+    own = words(text)
+    assert [" ".join(own[h["word_from"] : h["word_to"]]) for h in hits] == ["mit licence", "general public license", "mit license"]
 
 
 def test_texts_do_not_run_together():
