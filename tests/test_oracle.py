@@ -20,8 +20,12 @@ def test_matches_sql(spark, con, name):
     assert problem == "", problem
 
 
+#: a bootstrapped forest can't be grown in SQL; test_forest.py holds nodes and walk against the model and against SQL over stored nodes
+WITHOUT_SQL = {"forest_nodes", "forest_predictions"}
+
+
 def test_every_query_has_its_sql():
-    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) == set(catalog.ORACLES) | WITHOUT_SQL
 
 
 def test_entry(spark):

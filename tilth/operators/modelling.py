@@ -9,6 +9,7 @@ from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegre
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tilth.operators.forest import walk
 from tilth.schemas import require_columns
 from tilth.session import materialize
 
@@ -122,6 +123,13 @@ def predict_holdout(model: RandomForestRegressionModel, test: DataFrame, target:
     return scored.withColumnRenamed("prediction", f"{target.lower()}_pred").drop("features", "label")
 
 
+def predict_nodes(nodes: DataFrame, test: DataFrame, target: str, ids: Sequence[str] = ("obs_id",)) -> DataFrame:
+    """As :func:`predict_holdout`, from a forest's node rows; ``ids`` tell rows apart. Runs jobs over the nodes."""
+    require_columns(test, [target.lower(), *features_for(target)], f"test table for {target!r}")
+    scored = walk(test, nodes, features_for(target), ids, f"{target.lower()}_pred")
+    return test.join(scored, on=list(ids))
+
+
 def regression_metrics(df: DataFrame, target: str, prediction: str | None = None) -> DataFrame:
     """One row: r2, mae, mse, rmse, ubrmse and bias = mean(observed - predicted)."""
     y, p = F.col(target), F.col(prediction or f"{target}_pred")
@@ -156,7 +164,7 @@ def tree_table_export(spark, model: RandomForestRegressionModel) -> DataFrame:
 
 
 def train_targets(df: DataFrame, targets: Sequence[str], holdout_by_year: bool = True, ids=("obs_id",)) -> dict:
-    """Per target: the model, its metrics table and its scored test rows."""
+    """Per target: the model, its metrics table, its scored test rows, and how many rows were complete."""
     chosen = holdout_year_per_station(df) if holdout_by_year else None
     out = {}
     for target in targets:
@@ -168,5 +176,6 @@ def train_targets(df: DataFrame, targets: Sequence[str], holdout_by_year: bool =
             "model": model,
             "metrics": regression_metrics(scored, target.lower()),
             "holdout": scored,
+            "rows": completeness(df, target),
         }
     return out

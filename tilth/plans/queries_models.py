@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tilth.operators import forest
 from tilth.operators import modelling as md
 from tilth.operators import timeseries as ts_ops
 from tilth.operators import validation as val
@@ -112,17 +113,80 @@ def train_forest(spark, sf_dir):
     return spark.createDataFrame(rows, "tree_id int, grown boolean, depth_ok boolean")
 
 
+#: Stand-in for a learned forest: trees of up to 31 nodes in heap order, by a rule both engines can follow.
+#: Some inner nodes of the lower levels are leaves; what would be below them is left out.
+_EARLY = "{0} BETWEEN 3 AND 14 AND (tree + {0}) % 7 = 3"
+_LEAF = f"(node >= 15 OR ({_EARLY.format('node')}))"
+_SPANS = ((31, 7), (-16, 12), (0.0052, 0.0012), (0.0401, 0.0366), (1992, 7), (1, 365), (30, 150), (0, 1))
+_CUT = "CAST((7 * node + 3 * tree) % 9 + 1 AS DOUBLE) / 10"
+_FEATURE = "(tree + node) % 8"
+_THRESHOLD = f"CASE {_FEATURE} " + " ".join(f"WHEN {i} THEN round(CAST({lo} AS DOUBLE) + CAST({w} AS DOUBLE) * {_CUT}, 4)" for i, (lo, w) in enumerate(_SPANS)) + " END"
+FOREST_SQL = (
+    f"SELECT tree, node, CASE WHEN NOT {_LEAF} THEN CAST({_FEATURE} AS INT) END AS feature, CASE WHEN NOT {_LEAF} THEN {_THRESHOLD} END AS threshold,"
+    f" CASE WHEN NOT {_LEAF} THEN 2 * node + 1 END AS left_node, CASE WHEN NOT {_LEAF} THEN 2 * node + 2 END AS right_node,"
+    f" round(CAST((31 * tree + 7 * node) % 97 AS DOUBLE) / 100, 2) AS value FROM numbers"
+    f" WHERE NOT (node > 6 AND ({_EARLY.format('up')})) AND NOT (node > 14 AND ({_EARLY.format('grand')}))"
+)
+
+
+def _numbers(explode: str) -> str:
+    """(tree, node, up, grand) of all places in heap order; ``explode`` makes the rows 0 to n - 1."""
+    above = "CAST(floor((node - {0}) / CAST({1} AS DOUBLE)) AS INT)"
+    rows = f"SELECT tree, {explode.format(31)} AS node FROM (SELECT {explode.format(md.NUM_TREES)} AS tree)"
+    return f"SELECT CAST(tree AS INT) AS tree, CAST(node AS INT) AS node, {above.format(1, 2)} AS up, {above.format(3, 4)} AS grand FROM ({rows})"
+
+
+NUMBERS_SQL = _numbers("unnest(range({0}))")
+
+
+def forest_stand_in(spark) -> DataFrame:
+    """Node rows of the stand-in forest, from the rule that its SQL follows."""
+    numbers = _numbers("explode(sequence(0, {0} - 1))")
+    nodes = spark.sql(f"WITH numbers AS ({numbers}) {FOREST_SQL}")
+    return nodes.withColumnsRenamed({"left_node": "left", "right_node": "right"})
+
+
+#: Recursion over node rows: every held-out row goes down every tree until it is in a leaf.
+WALK_SQL = (
+    "SELECT obs_id, ssm, x, tree, node FROM inputs, (SELECT DISTINCT tree, 0 AS node FROM forest)"
+    " UNION ALL SELECT w.obs_id, w.ssm, w.x, w.tree, CASE WHEN w.x[f.feature + 1] <= f.threshold THEN f.left_node ELSE f.right_node END"
+    " FROM walked w JOIN forest f ON f.tree = w.tree AND f.node = w.node WHERE f.left_node IS NOT NULL"
+)
+INPUTS_SQL = "SELECT obs_id, ssm, [" + ", ".join(f"CAST({c} AS DOUBLE)" for c in md.features_for("ssm")) + "] AS x FROM held"
+
+
 @query(
     "predict_holdout",
-    with_tables("scenes", train=TRAIN_SQL, chosen=CHOSEN_SQL, held=HELD_SQL)
-    + "SELECT obs_id, round(ssm, 6) AS ssm, true AS in_range FROM held",
+    with_tables("scenes", train=TRAIN_SQL, chosen=CHOSEN_SQL, held=HELD_SQL, inputs=INPUTS_SQL, numbers=NUMBERS_SQL, forest=FOREST_SQL, walked=WALK_SQL).replace("WITH", "WITH RECURSIVE", 1)
+    + "SELECT obs_id, round(any_value(ssm), 6) AS ssm, round(avg(value), 6) AS ssm_pred FROM walked w"
+    " JOIN forest f ON f.tree = w.tree AND f.node = w.node WHERE f.left_node IS NULL GROUP BY obs_id",
 )
 def predict_holdout(spark, sf_dir):
-    """The rows held out, and whether each prediction lies among the labels learned from."""
+    """Predictions for the rows held out, from node rows of a stand-in forest walked level by level."""
+    test = forest_split(spark, sf_dir).filter("is_test").drop("is_test")
+    scored = md.predict_nodes(forest_stand_in(spark), test, "ssm", ["obs_id"])
+    return rounded(scored.select("obs_id", "ssm", "ssm_pred"))
+
+
+@query("forest_nodes")
+def forest_nodes(spark, sf_dir):
+    """Every node of the forest learned from the rows not held out, read from the stored files. Bootstrapped: no SQL form."""
+    return rounded(stored_nodes(spark, sf_dir)[0])
+
+
+@query("forest_predictions")
+def forest_predictions(spark, sf_dir):
+    """What the learned forest predicts for the rows held out, by a walk over its stored nodes. Bootstrapped: no SQL form."""
+    nodes, test = stored_nodes(spark, sf_dir)
+    return rounded(md.predict_nodes(nodes, test, "ssm", ["obs_id"]).select("obs_id", "ssm", "ssm_pred"))
+
+
+def stored_nodes(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     model, test = fitted(spark, sf_dir)
-    learned = md.filter_complete_cases(training(spark, sf_dir), "ssm").agg(F.min("ssm"), F.max("ssm")).first()
-    inside = F.col("ssm_pred").between(learned[0] - 1e-9, learned[1] + 1e-9)
-    return rounded(md.predict_holdout(model, test, "ssm").select("obs_id", "ssm", inside.alias("in_range")))
+    path = scratch_path(spark, "model")
+    sinks.write_model(model, path)
+    delete_at_end(spark, path)
+    return sinks.read_nodes(spark, path), test
 
 
 @query(
@@ -140,12 +204,19 @@ def sink_model(spark, sf_dir):
     return again.select("obs_id", (F.col("ssm_pred") == F.col("fitted")).alias("same"))
 
 
-@query("tree_table_export", f"SELECT tree_id, true AS one_line, true AS marked FROM ({TREES_SQL})")
+@query(
+    "tree_table_export",
+    f"""WITH RECURSIVE numbers AS ({NUMBERS_SQL}), forest AS ({FOREST_SQL}),
+      ways AS (SELECT DISTINCT tree, 0 AS node, '' AS way FROM forest UNION ALL SELECT f.tree, s.child, way || s.mark FROM ways w JOIN forest f ON f.tree = w.tree AND f.node = w.node
+        CROSS JOIN LATERAL (VALUES (f.left_node, '1'), (f.right_node, '3')) s(child, mark) WHERE f.left_node IS NOT NULL),
+      lines AS (SELECT f.tree, way || '0' AS place, 'If (feature ' || feature || ' <= ' || threshold || ')' AS line FROM ways w JOIN forest f ON f.tree = w.tree AND f.node = w.node WHERE left_node IS NOT NULL
+        UNION ALL SELECT f.tree, way || '2', 'Else (feature ' || feature || ' > ' || threshold || ')' FROM ways w JOIN forest f ON f.tree = w.tree AND f.node = w.node WHERE left_node IS NOT NULL
+        UNION ALL SELECT f.tree, way, 'Predict: ' || value FROM ways w JOIN forest f ON f.tree = w.tree AND f.node = w.node WHERE left_node IS NULL)
+      SELECT tree AS tree_id, string_agg(line, '#' ORDER BY place) AS tree FROM lines GROUP BY tree""",
+)
 def tree_table_export(spark, sf_dir):
-    """Whether each tree's text is one line with its nodes marked off."""
-    model, _ = fitted(spark, sf_dir)
-    trees = md.tree_table_export(spark, model)
-    return trees.select("tree_id", (~F.contains("tree", F.lit("\n"))).alias("one_line"), F.contains("tree", F.lit("#If")).alias("marked"))
+    """Each tree of the stand-in forest as one line of text."""
+    return forest.tree_text(forest_stand_in(spark))
 
 
 @query(

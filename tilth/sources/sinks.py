@@ -185,3 +185,25 @@ def write_model(model: RandomForestRegressionModel, path: str) -> None:
 
 def read_model(path: str) -> RandomForestRegressionModel:
     return RandomForestRegressionModel.load(path)
+
+
+def read_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """A stored forest as node rows (see ``operators/forest.py``), read from its files without loading the model.
+
+    ``n`` counts the bootstrapped training rows in a node. Splits by category have no
+    threshold and are refused.
+    """
+    split = F.col("nodeData.split")
+    inner = F.col("nodeData.leftChild") >= 0
+    refused = F.raise_error(F.lit("a split by category has no threshold"))
+    threshold = F.when(split["numCategories"] >= 0, refused.cast("double")).otherwise(split["leftCategoriesOrThreshold"][0])
+    return spark.read.parquet(f"{path.rstrip('/')}/data").select(
+        F.col("treeID").alias("tree"),
+        F.col("nodeData.id").alias("node"),
+        F.when(inner, split["featureIndex"]).alias("feature"),
+        F.when(inner, threshold).alias("threshold"),
+        F.when(inner, F.col("nodeData.leftChild")).alias("left"),
+        F.when(inner, F.col("nodeData.rightChild")).alias("right"),
+        F.col("nodeData.prediction").alias("value"),
+        F.col("nodeData.rawCount").alias("n"),
+    )
