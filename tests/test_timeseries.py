@@ -46,8 +46,8 @@ def hash_order(spark, frame, col):
 def test_running_over_ties_equals_pandas(spark):
     frame = series(3000)
     frame["date"] = frame["date"].dt.floor("D")  # hundreds of rows share an instant
-    table, levels, order, helpers = ops.with_time_blocks(to_spark(spark, frame), "date", ["id"], "month")
-    out = running(table, ["station"], levels, order, {"total": ("sum", "x"), "prev": ("last", "x"), "next": ("next", "x")})
+    table, order, helpers = ops.with_time_order(to_spark(spark, frame), "date", ["id"])
+    out = running(table, ["station"], order, {"total": ("sum", "x"), "prev": ("last", "x"), "next": ("next", "x")})
     got = out.select("id", "total", "prev", "next").toPandas().sort_values("id").reset_index(drop=True)
     want = hash_order(spark, frame, "id")
     by = want.groupby("station")["x"]
@@ -62,10 +62,41 @@ def test_running_keeps_rows_without_a_key(spark):
     table = spark.createDataFrame(
         [(None, 1, 1.0), (None, 2, 2.0), ("a", 1, 3.0), ("a", 2, 4.0)], "k string, t int, x double"
     ).withColumn("b", F.lit(0))
-    rows = running(table, ["k"], [["b"]], ["t"], {"s": ("sum", "x")}).orderBy("k", "t").collect()
+    rows = running(table, ["k"], ["t"], {"s": ("sum", "x")}).orderBy("k", "t").collect()
     assert [(r.k, r.s) for r in rows] == [(None, None), (None, None), ("a", 3.0), ("a", 7.0)]
 
 
+def test_running_over_many_ranges_and_batches(spark):
+    """Long gaps, lone rows, keys in many ranges and infinities that stay with their key."""
+    rng = np.random.default_rng(11)
+    n = 6000
+    frame = pd.DataFrame({"k": np.where(rng.random(n) < 0.6, "hot", [f"k{i}" for i in rng.integers(0, 400, n)]), "t": rng.permutation(n), "x": rng.normal(size=n), "i": rng.integers(-5, 5, n)})
+    frame.loc[(rng.random(n) < 0.9) | frame["t"].between(1000, 4000), "x"] = np.nan
+    frame.loc[frame["k"] == "k7", "x"] = np.inf
+    specs = {"s": ("sum", "x"), "si": ("sum", "i"), "n": ("count", "x"), "a": ("last_at", "x"), "b": ("next_at", "x"), "l": ("last", "i")}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        out = running(to_spark(spark, frame), ["k"], ["t"], specs)
+        got = out.selectExpr("k", "t", "x", "i", "s", "si", "n", "a.p ap", "a.v av", "b.p bp", "b.v bv", "l").toPandas().sort_values(["k", "t"], ignore_index=True)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = frame.sort_values(["k", "t"], ignore_index=True)
+    by = want.groupby("k")
+    place = by.cumcount() + 1
+    known = want.assign(p=place.where(want["x"].notna())).groupby("k")
+    total = by["x"].transform(lambda s: s.fillna(0).cumsum())
+    seen = by["x"].transform(lambda s: s.notna().cumsum() > 0)
+    same = lambda a, b: np.testing.assert_allclose(a.astype(float).fillna(-99), b.astype(float).fillna(-99), atol=1e-9)
+    same(got["s"], total.where(seen))
+    same(got["si"], by["i"].cumsum())
+    same(got["n"], place)
+    same(got["ap"], known["p"].ffill())
+    same(got["av"], by["x"].ffill())
+    same(got["bp"], known["p"].bfill())
+    same(got["bv"], by["x"].bfill())
+    same(got["l"], want["i"])
+
+
 def test_fill_and_interpolate_equal_pandas(spark):
     frame = series(1500, seed=1, ties=False)
     table = to_spark(spark, frame)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tilth.functions.columns import clip_low, mean_ignoring_null
 from tilth.operators.lookup import intervals
 from tilth.operators.scan import running
-from tilth.operators.timeseries import with_time_blocks
+from tilth.operators.timeseries import with_time_order
 
 
 def dropna_subset(df: DataFrame, cols: Sequence[str] = ("vv", "vh", "angle")) -> DataFrame:
@@ -22,10 +22,10 @@ def lookup_base_temp(df: DataFrame, base: DataFrame) -> DataFrame:
     return df.join(base.select("lc", F.col("base").cast("double").alias("base_temp")), on="lc", how="left")
 
 
-def _cumulative(df: DataFrame, inputs: dict[str, str], by, ts, ids, block) -> DataFrame:
+def _cumulative(df: DataFrame, inputs: dict[str, str], by, ts, ids) -> DataFrame:
     """Running totals; a NULL input gives NULL there and does not reset the total."""
-    out, levels, order, helpers = with_time_blocks(df, ts, ids, block)
-    summed = running(out, by, levels, order, {name: ("sum", col) for name, col in inputs.items()})
+    out, order, helpers = with_time_order(df, ts, ids)
+    summed = running(out, by, order, {name: ("sum", col) for name, col in inputs.items()})
     return summed.withColumns(
         {name: F.when(F.col(col).isNotNull(), F.col(name)) for name, col in inputs.items()}
     ).drop(*helpers)
@@ -36,7 +36,6 @@ def cumulative_gdd(
     by: Sequence[str] = ("year",),
     ts: str = "date",
     ids: Sequence[str] | None = ("obs_id",),
-    block: str = "day",
 ) -> DataFrame:
     """Running growing-degree sums ``cum_gdd_air`` and ``cum_gdd_soil``.
 
@@ -50,7 +49,7 @@ def cumulative_gdd(
         }
     )
     return _cumulative(
-        degrees, {"cum_gdd_air": "__gdd_air", "cum_gdd_soil": "__gdd_soil"}, by, ts, ids, block
+        degrees, {"cum_gdd_air": "__gdd_air", "cum_gdd_soil": "__gdd_soil"}, by, ts, ids
     ).drop("__gdd_air", "__gdd_soil")
 
 
@@ -59,9 +58,8 @@ def cumulative_ssm(
     by: Sequence[str] = ("year",),
     ts: str = "date",
     ids: Sequence[str] | None = ("obs_id",),
-    block: str = "day",
 ) -> DataFrame:
-    return _cumulative(df, {"cum_ssm": "ssm"}, by, ts, ids, block)
+    return _cumulative(df, {"cum_ssm": "ssm"}, by, ts, ids)
 
 
 def cumulative_all(
@@ -69,7 +67,6 @@ def cumulative_all(
     by: Sequence[str] = ("year",),
     ts: str = "date",
     ids: Sequence[str] | None = ("obs_id",),
-    block: str = "day",
 ) -> DataFrame:
     """All three running totals in one pass over the blocks."""
     degrees = df.withColumns(
@@ -79,7 +76,7 @@ def cumulative_all(
         }
     )
     inputs = {"cum_gdd_air": "__gdd_air", "cum_gdd_soil": "__gdd_soil", "cum_ssm": "ssm"}
-    return _cumulative(degrees, inputs, by, ts, ids, block).drop("__gdd_air", "__gdd_soil")
+    return _cumulative(degrees, inputs, by, ts, ids).drop("__gdd_air", "__gdd_soil")
 
 
 def mean_of_two_ignore_null(df: DataFrame, a: str = "cum_gdd_air", b: str = "cum_gdd_soil", out: str = "cum_gdd"):

@@ -12,25 +12,15 @@ from tilth.operators.scan import running
 from tilth.session import materialize
 
 
-def with_time_blocks(
-    df: DataFrame, ts: str, ids: Sequence[str] | None, block: str = "day"
-) -> tuple[DataFrame, list[list[str]], list[str], list[str]]:
-    """Cut a timeline into blocks for :func:`tilth.operators.scan.running`.
-
-    Without ``ids`` every (key, instant) must occur once, so one ``block``
-    (a unit of ``date_trunc``) holds no more rows than the clock has ticks in
-    it. With ``ids`` many rows may share an instant: they are taken in the
-    order of a hash of the ids, and a crowded instant is cut into 256 shards
-    along that order.
-
-    Returns the table, its levels, the order inside the finest block, and the
-    helper columns to drop afterwards.
+def with_time_order(df: DataFrame, ts: str, ids: Sequence[str] | None) -> tuple[DataFrame, list[str], list[str]]:
+    """The table, the columns that order a timeline for :func:`tilth.operators.scan.running`, and those to drop afterwards.
+
+    Without ``ids`` every (key, instant) occurs once. With ``ids`` many rows
+    may share an instant: they are taken in the order of a hash of the ids.
     """
-    out = df.withColumn("__block", F.date_trunc(block, F.col(ts)))
     if ids is None:
-        return out, [["__block"]], [ts], ["__block"]
-    out = out.withColumn("__h", hashed_order(*ids)).withColumn("__shard", F.substring("__h", 1, 2))
-    return out, [["__block"], [ts, "__shard"]], ["__h"], ["__block", "__h", "__shard"]
+        return df, [ts], []
+    return df.withColumn("__h", hashed_order(*ids)), [ts, "__h"], ["__h"]
 
 
 def sort_by_time(df: DataFrame, ts: str = "date", ids: Sequence[str] = ()) -> DataFrame:
@@ -44,15 +34,14 @@ def fill_forward_backward(
     by: Sequence[str] = ("station",),
     ts: str = "date",
     ids: Sequence[str] | None = None,
-    block: str = "day",
 ) -> DataFrame:
-    """Fill gaps with the last earlier reading, leading gaps with the first later one."""
-    out, levels, order, helpers = with_time_blocks(df, ts, ids, block)
+    """Fill gaps with the last earlier reading, leading gaps with the first later one; runs jobs."""
+    out, order, _ = with_time_order(df, ts, ids)
     specs = {}
     for c in cols:
         specs[f"__prev_{c}"] = ("last", c)
         specs[f"__next_{c}"] = ("next", c)
-    filled = running(out, by, levels, order, specs)
+    filled = running(out, by, order, specs)
     return filled.select(
         *[
             F.coalesce(c, f"__prev_{c}", f"__next_{c}").alias(c) if c in cols else F.col(c)
@@ -67,30 +56,19 @@ def interpolate_linear(
     by: Sequence[str] = ("station",),
     ts: str = "date",
     ids: Sequence[str] | None = None,
-    block: str = "day",
 ) -> DataFrame:
-    """Fill gaps on a straight line over row positions between the neighbours.
+    """Fill gaps on a straight line over row positions between the neighbours; runs jobs.
 
     Positions count rows, not time. Leading gaps stay, trailing gaps take the
     last reading. ``by=()`` runs over the whole table in time order.
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
-    out, levels, order, helpers = with_time_blocks(df, ts, ids, block)
-    out = out.withColumn("__one", F.lit(1).cast("long"))
-    placed = running(out, by, levels, order, {"__pos": ("sum", "__one")})
-    placed = placed.withColumns(
-        {
-            f"__known_{c}": F.when(
-                F.col(c).isNotNull(), F.struct(F.col("__pos").alias("p"), F.col(c).alias("v"))
-            )
-            for c in cols
-        }
-    )
-    specs = {}
+    out, order, _ = with_time_order(df, ts, ids)
+    specs = {"__pos": ("count", ts)}
     for c in cols:
-        specs[f"__prev_{c}"] = ("last", f"__known_{c}")
-        specs[f"__next_{c}"] = ("next", f"__known_{c}")
-    near = running(placed, by, levels, order, specs)
+        specs[f"__prev_{c}"] = ("last_at", c)
+        specs[f"__next_{c}"] = ("next_at", c)
+    near = running(out, by, order, specs)
 
     def filled(c: str) -> Column:
         p0, v0 = F.col(f"__prev_{c}.p"), F.col(f"__prev_{c}.v")
