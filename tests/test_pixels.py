@@ -121,3 +121,36 @@ def test_buffer_join_on_cell_borders(spark):
     assert got == want
     with pytest.raises(ValueError):
         px.buffer_range_join(grid, stations, -1.0)
+
+
+@pytest.mark.parametrize("most", [1, 7, 100_000])
+def test_buffer_join_in_crowded_cells(spark, most):
+    """Overlapping buffers, a spot that no cell can split, rows without coordinates, and other columns."""
+    rng = np.random.default_rng(5)
+    points = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.normal(0, 30, (300, 2)).round(1))]
+    points += [(1000 + i, 3.0, -4.0) for i in range(200)] + [(2000 + i, 3.0 + i / 1000, -4.0) for i in range(50)] + [(3000, None, 1.0), (3001, 1.0, None)]
+    places = [(f"s{i}", float(a), float(b)) for i, (a, b) in enumerate(rng.normal(0, 25, (40, 2)).round(1))] + [("spot", 3.0, -4.0), ("spot2", 3.0, 1.0), ("none", None, None)]
+    grid = spark.createDataFrame(points, "id long, x double, y double").withColumn("n", F.lit("clash"))
+    got = px.buffer_range_join(grid, spark.createDataFrame(places, "station string, sx double, sy double"), 5.0, most=most)
+    assert got.columns == ["station", "id", "x", "y", "n"]
+    pairs = [(r.station, r.id) for r in got.collect()]
+    want = [(s, i) for s, sx, sy in places for i, x, y in points if None not in (sx, x, y) and (x - sx) ** 2 + (y - sy) ** 2 <= 25]
+    assert sorted(pairs) == sorted(want)
+
+
+def test_buffer_join_without_pixels_or_stations(spark):
+    grid = spark.createDataFrame([(1.0, 1.0)], "x double, y double")
+    stations = spark.createDataFrame([("a", 1.0, 1.0)], "station string, sx double, sy double")
+    assert px.buffer_range_join(grid.limit(0), stations, 5.0).count() == 0
+    assert px.buffer_range_join(grid, stations.limit(0), 5.0).count() == 0
+    assert px.buffer_range_join(grid, stations, 0.0).count() == 1
+
+
+def test_tiles_of_negative_places_and_narrow_types(spark):
+    img = image(7, 20, 20)
+    table = to_table(spark, img).select("scene", "band", (F.col("row") - 10).cast("int").alias("row"), (F.col("col") - 7).cast("int").alias("col"), F.col("v").cast("float"))
+    got = {(r.row, r.col): r.mean for r in px.focal_mean_var_3x3(table, tile=8).collect()}
+    assert len(got) == 400
+    for (r, c), mean in got.items():
+        assert mean == pytest.approx(around(img, r + 10, c + 7, BOX).mean(), rel=1e-6)
+    assert px.refined_lee(table.limit(0)).count() == 0

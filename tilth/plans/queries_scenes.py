@@ -158,25 +158,24 @@ def truncate_to_short(spark, sf_dir):
 
 # -- pixels ----------------------------------------------------------------
 
-STATION_POINTS = (
-    "SELECT concat('ST', CAST(vec_id AS VARCHAR)) AS station, CAST((vec_id * 7) % 64 * 10 + 3 AS DOUBLE) AS sx,"
-    " CAST(vec_id * 10 + 4 AS DOUBLE) AS sy FROM embeddings WHERE vec_id % 40 = 20"
-)
+#: a station on every image row, so that buffers of neighbours overlap
+STATION_COLUMNS = [
+    "concat('ST', CAST(vec_id AS {0})) AS station",
+    "CAST((vec_id * 7) % 64 * 10 + 3 AS DOUBLE) AS sx",
+    "CAST(vec_id * 10 + 4 AS DOUBLE) AS sy",
+]
 
 
 @query(
     "buffer_range_join",
-    with_tables("pixels", stations=STATION_POINTS)
-    + """SELECT station, "row", col, round(v, 6) AS v FROM pixels JOIN stations
-        ON (col*10 - sx)*(col*10 - sx) + ("row"*10 - sy)*("row"*10 - sy) <= 225""",
+    with_tables("pixels", stations=f"SELECT {', '.join(STATION_COLUMNS).format('VARCHAR')} FROM embeddings", steps="SELECT unnest([-2, -1, 0, 1, 2]) AS step")
+    + """, near AS (SELECT station, sx, sy, CAST(floor(sy / 10) AS BIGINT) + step AS "row" FROM stations CROSS JOIN steps)
+      SELECT station, p."row", col, round(v, 6) AS v FROM pixels p JOIN near n ON n."row" = p."row"
+        AND (col*10 - sx)*(col*10 - sx) + (p."row"*10 - sy)*(p."row"*10 - sy) <= 225""",
 )
 def buffer_range_join(spark, sf_dir):
-    """Pixels on a 10 m grid within 15 m of stations; one station per 40 image rows."""
-    stations = b.table(spark, sf_dir, "embeddings").filter("vec_id % 40 = 20").selectExpr(
-        "concat('ST', CAST(vec_id AS STRING)) AS station",
-        "CAST((vec_id * 7) % 64 * 10 + 3 AS DOUBLE) AS sx",
-        "CAST(vec_id * 10 + 4 AS DOUBLE) AS sy",
-    )
+    """Pixels on a 10 m grid within 15 m of the stations, one to each image row."""
+    stations = b.table(spark, sf_dir, "embeddings").selectExpr(*(c.format("STRING") for c in STATION_COLUMNS))
     grid = b.pixels(spark, sf_dir).selectExpr("row", "col", "v", "CAST(col*10 AS DOUBLE) AS x", "CAST(row*10 AS DOUBLE) AS y")
     return rounded(px.buffer_range_join(grid, stations, 15.0).select("station", "row", "col", "v"))
 
