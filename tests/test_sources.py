@@ -10,7 +10,8 @@ from tilth.operators import scenes
 from tilth.plans.pipeline import run_to_phenology, wide_readings
 from tilth.schemas import READINGS, SCENES
 from tilth.sources import sinks, tables
-from tilth.sources.csv_lines import cells, read_scene_csv, read_station_csv
+from tilth.sources import csv_lines, file_ranges
+from tilth.sources.csv_lines import StationFiles, cells, read_scene_csv, read_station_csv, reject_counts
 
 LOGGER = """﻿Bulk export,for station
 made,2020-01-01 00:00:00
@@ -184,3 +185,81 @@ def test_pivot_refuses_doubled_cells(spark):
 def test_union_of_nothing_has_the_columns(spark):
     out = ops.union_stations(spark, [], READINGS)
     assert out.columns == READINGS.names and out.isEmpty()
+
+
+MIXED = "Time,Air temperature\nTimestamp (UTC),\n6/1/2020 7:05,1\n2020-06-01 08:00:00,2\n6/1/2020 9:00:30 PM,3\n03-Jun-2020 10:00,4\n,5\nnever,6\n"
+
+
+def test_time_formats_are_tried_in_order_and_lost_lines_told(spark, loggers, tmp_path):
+    folder = tmp_path / "loggers"
+    (folder / "field7_north.csv").write_text(MIXED)
+    (folder / "plain.csv").write_text(MIXED.replace("\n", "\r\n"))
+    files = StationFiles(spark, str(folder))
+    rows = files.cells().collect()
+    times = [(r.station, str(r.ts), r.raw) for r in rows if r.station in ("north", "plain")]
+    own = [("2020-06-01 07:05:00", "1"), ("2020-06-01 08:00:00", "2"), ("2020-06-01 21:00:30", "3"), ("2020-06-03 10:00:00", "4")]
+    assert sorted(times) == sorted((s, t, v) for s in ("north", "plain") for t, v in own)
+    lost = {(r.file.split("/")[-1], r.reason): r.n for r in reject_counts(files.rejects()).collect()}
+    assert lost == {
+        ("field7_north.csv", csv_lines.NO_TIME): 1,
+        ("field7_north.csv", csv_lines.BAD_TIME): 1,
+        ("plain.csv", csv_lines.NO_TIME): 1,
+        ("plain.csv", csv_lines.BAD_TIME): 1,
+        ("LOGGER_MB1_2015_to_2024.csv", csv_lines.BAD_TIME): 1,
+        ("LOGGER_MB9.csv", csv_lines.NO_HEADER): 2,
+    }
+    assert {(r.station, r.column) for r in files.columns().collect()} >= {("north", "Air temperature"), ("MB1", "Battery")}
+    only_iso = StationFiles(spark, str(folder), formats=[None])
+    assert only_iso.cells().where("station = 'north'").count() == 1
+    frame = spark.createDataFrame([("6/1/2020 7:05",), ("x",), (None,)], "raw string")
+    assert ops.parse_timestamp_dropna(frame, "raw").count() == 1 and ops.unparsed_times(frame, "raw").count() == 2
+
+
+@pytest.mark.parametrize("split", [7, 64, 1 << 20])
+def test_files_in_ranges_have_every_line_once(spark, loggers, split):
+    read = lambda f: sorted((r.station, str(r.ts), r.col_pos, r.raw or "") for r in f.collect())
+    files = StationFiles(spark, loggers, split=split)
+    assert read(files.cells()) == read(read_station_csv(spark, loggers))
+    lines = files.lines.where("file like '%MB1_2015%'").orderBy("at").collect()
+    want = [x.lstrip("\ufeff") for x in LOGGER.split("\n") if x.strip()]
+    assert [r.line for r in lines] == want
+    data = LOGGER.encode()
+    assert all(data[r.at :].decode().lstrip("\ufeff").startswith(r.line) for r in lines)
+
+
+def test_chunks_of_a_long_file_join(tmp_path, monkeypatch):
+    """Lines longer than what is read at once, no line end at the file's end, and ranges that hold no line's beginning."""
+    from pyarrow import fs
+
+    monkeypatch.setattr(file_ranges, "CHUNK", 5)
+    lines = ["é" * 9, "", "short", "x" * 40, "漢字", "last"]
+    path = tmp_path / "a.csv"
+    for end in ("", "\n"):
+        path.write_bytes(("\n".join(lines) + end).encode())
+        size = path.stat().st_size
+        for split in (3, 11, 1000):
+            got = []
+            for task in file_ranges.plan([(str(path), size)], split):
+                for _, a, b in task.pieces:
+                    got += [(int(p), t) for places, texts in file_ranges.lines_of(fs.LocalFileSystem(), str(path), a, b) for p, t in zip(places, texts)]
+            places, at = [], 0
+            for line in lines:
+                places.append((at, line))
+                at += len(line.encode()) + 1
+            assert got == places, (end, split)
+
+
+def test_stores_that_only_spark_opens_give_the_same(spark, loggers, monkeypatch):
+    read = lambda: sorted((r.station, str(r.ts), r.col_pos, r.raw or "") for r in read_station_csv(spark, loggers).collect())
+    want = read()
+    monkeypatch.setattr(csv_lines, "reachable", lambda uri: False)
+    assert read() == want
+    assert not file_ranges.reachable("viewfs://cluster/x")
+
+
+def test_small_files_share_tasks():
+    files = [(f"f{i}", 10) for i in range(5)] + [("big", 35), ("empty", 0)]
+    tasks = file_ranges.plan(files, 20)
+    assert [p for t in tasks for p in t.pieces if p[0] == "big"] == [("big", 0, 20), ("big", 20, 35)]
+    assert max(sum(b - a for _, a, b in t.pieces) for t in tasks) <= 20
+    assert len(tasks) == 5

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -29,6 +30,15 @@ def to_timestamp_ntz(c: Column | str, fmt: str | None = None) -> Column:
     return parsed.cast("timestamp_ntz")
 
 
+#: Formats in which times are tried, in order; None is what a cast to timestamp takes (ISO 8601).
+TIME_FORMATS = (None, "M/d/yyyy H:mm[:ss]", "M/d/yyyy h:mm[:ss] a", "yyyy/M/d H:mm[:ss]", "d-MMM-yyyy H:mm[:ss]", "d.M.yyyy H:mm[:ss]", "yyyyMMdd'T'HHmmss")
+
+
+def first_time(c: Column | str, formats: Sequence[str | None] = TIME_FORMATS) -> Column:
+    """Text to timestamp without zone, in the first format that it fits; NULL when it fits none."""
+    return F.coalesce(*(to_timestamp_ntz(F.trim(as_col(c)), fmt) for fmt in formats))
+
+
 def micros(c: Column | str) -> Column:
     """Wall-clock microseconds since 1970, whatever the session zone."""
     instant = as_col(c).cast("timestamp_ntz").cast("timestamp")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilth.functions.columns import doy_of, to_number, to_timestamp_ntz, year_of
+from tilth.functions.columns import TIME_FORMATS, doy_of, first_time, to_number, year_of
 from tilth.schemas import SENSOR_CATEGORIES, conform, require_columns
 
 # Patterns that name the columns of a logger export.
@@ -40,9 +40,23 @@ def station_from_name(name: Column) -> Column:
     return F.when(token != "", token)
 
 
-def parse_timestamp_dropna(df: DataFrame, raw: str, out: str = "ts") -> DataFrame:
-    """Text to timestamp; rows that do not parse are dropped."""
-    return df.withColumn(out, to_timestamp_ntz(raw)).filter(F.col(out).isNotNull())
+def station_of_file(name: Column) -> Column:
+    """Station of a file: the id found in its path, else the second part of its name between underscores, else the whole name."""
+    base = F.regexp_replace(F.element_at(F.split(name, "/"), -1), r"\.[^.]*$", "")
+    second = F.get(F.split(base, "_"), 1)
+    return F.coalesce(station_from_name(name), F.when(second != "", second), base)
+
+
+def parse_timestamp_dropna(
+    df: DataFrame, raw: str, out: str = "ts", formats: Sequence[str | None] = TIME_FORMATS
+) -> DataFrame:
+    """Text to timestamp by the first format that fits; rows that fit none are dropped."""
+    return df.withColumn(out, first_time(raw, formats)).filter(F.col(out).isNotNull())
+
+
+def unparsed_times(df: DataFrame, raw: str, formats: Sequence[str | None] = TIME_FORMATS) -> DataFrame:
+    """The rows that :func:`parse_timestamp_dropna` drops."""
+    return df.filter(first_time(raw, formats).isNull())
 
 
 def coerce_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:

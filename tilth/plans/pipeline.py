@@ -16,7 +16,7 @@ from tilth.operators.inversion import derive_bounds, invert_once
 from tilth.operators.modelling import train_targets, tree_table_export
 from tilth.schemas import READINGS, READINGS_LONG, SCENES, conform
 from tilth.session import materialize
-from tilth.sources.csv_lines import read_scene_csv, read_station_csv
+from tilth.sources.csv_lines import StationFiles, read_scene_csv
 from tilth.sources.sinks import (
     IterationStore,
     attach_manifest,
@@ -29,10 +29,16 @@ from tilth.sources.sinks import (
 MEASURES = ("SSM", "SST", "AIRT", "PRCP")
 
 
-def wide_readings(cells: DataFrame) -> DataFrame:
-    """Logger cells to one row per (station, date) with ssm, sst, airt, prcp."""
-    layout = cells.select("file", "station", "column", "col_pos").distinct()
-    chosen = readings.classify_columns(layout, by=["file", "station"])
+def wide_readings(cells: DataFrame, columns: DataFrame | None = None) -> DataFrame:
+    """Logger cells to one row per (station, date) with ssm, sst, airt, prcp.
+
+    ``columns`` (file, station, col_pos, column) is what the files' headers
+    tell; without it the cells are searched for their columns. The columns
+    that count are written (runs a job): a few rows per file, joined to the
+    cells where they are.
+    """
+    layout = columns if columns is not None else cells.select("file", "station", "column", "col_pos").distinct()
+    chosen = materialize(readings.classify_columns(layout, by=["file", "station"]), "columns")
     values = cells.join(chosen.select("file", "col_pos", "category"), on=["file", "col_pos"], how="left")
     instants = values.select("station", F.col("ts").alias("date"), "category", to_number("raw").alias("value"))
     # cells of other columns keep their instant's row
@@ -137,7 +143,8 @@ def run_to_phenology(
     spark: SparkSession, station_files: str, scene_files: str, texture: DataFrame, crop_tables: dict
 ) -> DataFrame:
     """Raw files to the phenology table."""
-    wide = materialize(wide_readings(read_station_csv(spark, station_files)), "instants")
+    loggers = StationFiles(spark, station_files)
+    wide = materialize(wide_readings(loggers.cells(), loggers.columns()), "instants")
     reading_table = materialize(load_readings(long_readings(wide), texture), "readings")
     scene_table = materialize(load_scenes(read_scene_csv(spark, scene_files)), "scenes")
     return phenology_table(scene_table, reading_table, crop_tables["base"], crop_tables["stages"])

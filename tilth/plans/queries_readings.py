@@ -13,7 +13,7 @@ from tilth.plans.registry import query, rounded
 from tilth.schemas import READINGS_LONG, SCENES
 from tilth.session import delete_at_end, scratch_path
 from tilth.sources import sinks, tables
-from tilth.sources.csv_lines import read_scene_csv, read_station_csv
+from tilth.sources.csv_lines import StationFiles, read_scene_csv, read_station_csv, reject_counts
 
 MEASURE_NAMES = {"SSM": "ssm", "SST": "sst", "AIRT": "airt", "PRCP": "prcp"}
 
@@ -87,6 +87,27 @@ def src_station_csv(spark, sf_dir):
     return rounded(cells.filter("value is not null").select("station", "ts", "column", "value"))
 
 
+@query(
+    "src_station_rejects",
+    with_tables("readings")
+    + """SELECT station, CASE WHEN event_id % 11 = 5 THEN CASE WHEN event_id % 2 = 0 THEN 'no time' ELSE 'time in no known format' END ELSE 'read' END AS reason,
+        count(*) AS n FROM readings GROUP BY 1, 2""",
+)
+def src_station_rejects(spark, sf_dir):
+    """Logger files, one for each station, with times in three formats and some that are none: lines read and lines rejected, by reason."""
+    formats = ["yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm:ss", "dd-MMM-yyyy HH:mm"]
+    told = F.element_at(F.array(*(F.date_format("date", f) for f in formats)), (F.col("event_id") % 3 + 1).cast("int"))
+    time = F.when(F.col("event_id") % 11 != 5, told).otherwise(F.when(F.col("event_id") % 2 == 0, "").otherwise("n/a"))
+    events = b.readings(spark, sf_dir).withColumn("file", F.concat(F.lit("LOGGER_"), "station"))
+    line = F.concat_ws(",", time, F.col("event_id").cast("string"))
+    head = events.select("file").distinct().select("file", F.posexplode(F.array(F.lit("Time,Air temperature"), F.lit("Timestamp (UTC),"))).alias("ord", "line"))
+    path = scratch_path(spark, "loggers")
+    write_raw_lines(events.select("file", (F.col("event_id") + 10).alias("ord"), line.alias("line")).unionByName(head), path)
+    loggers = StationFiles(spark, path)
+    counted = reject_counts(loggers.rejects()).unionByName(loggers.cells().groupBy("file").agg(F.count("*").alias("n")).withColumn("reason", F.lit("read")))
+    return counted.groupBy(ops.station_of_file(F.col("file")).alias("station"), "reason").agg(F.sum("n").alias("n"))
+
+
 FILE_NAME = (
     "CASE CAST(event_id % 3 AS INT) WHEN 0 THEN concat('LOGGER_', station, '_2015_to_2024.csv')"
     " WHEN 1 THEN concat('S1_Backscatter_LOGGER_', station, '_2015_to_2024_buffer15m.csv')"
