@@ -187,3 +187,41 @@ def test_broken_rows_do_not_fail_the_pass(spark):
     assert bad.filter("route = 'crop'").isEmpty()
     assert bad.filter("abs(vvs - vv) > 1e-9 OR vvv IS NOT NULL OR rvi IS NOT NULL").isEmpty()
     assert bad.count() == broken.join(b.small(spark, "bounds").select("lc").distinct().filter("lc <> '177'"), "lc", "left_anti").count()
+
+
+def every_cell(vv, path, gain, axes, soil):
+    """All cells in order; the first of equals stays."""
+    best = [np.full(vv.shape, np.inf)] + [np.full(vv.shape, np.nan) for _ in range(4)]
+    for c in axes["c"]:
+        through = np.exp(path * c)
+        for s in axes["s"]:
+            for length in axes["l"]:
+                ground = soil(s, length) * through
+                for w in axes["w"]:
+                    misfit = np.abs(vv - (ground + w * gain * (1.0 - through)))
+                    better = misfit < best[0]
+                    for kept, new in zip(best, (misfit, c, s, length, w)):
+                        np.copyto(kept, new, where=better)
+    return best
+
+
+@pytest.mark.parametrize("levels", [2, 3, 7])
+@pytest.mark.parametrize("kind", ["SPM", "no length", "undefined"])
+def test_sorted_soils_find_the_first_of_the_nearest_cells(levels, kind):
+    """Also under a canopy that hides the ground, with equal soils, equal bounds, and soils without a value."""
+    rng = np.random.default_rng(levels)
+    n = 4000
+    axes = {}
+    for p, top in (("c", 0.5), ("s", 0.02), ("l", 0.1), ("w", 0.5)):
+        low = np.where(rng.random(n) < 0.1, 0.0, rng.random(n) * top)
+        width = np.where(rng.random(n) < 0.1, 0.0, rng.random(n) * top)
+        axes[p] = [low + width * (i / (levels - 1)) for i in range(levels)]
+    vv, gain = rng.random(n) * 0.3, 0.75 * rng.random(n)
+    path = -rng.choice([0.0, 1.0, 30.0, 2000.0], n) * rng.random(n)
+
+    def soil(s, length):
+        power = 300.0 * s * s * (1.0 if kind == "no length" else length / 0.05)
+        return np.where(length > 0.12, np.nan, power) if kind == "undefined" else power
+
+    for got, want in zip(inv._first_least(vv, path, gain, axes, soil), every_cell(vv, path, gain, axes, soil)):
+        np.testing.assert_array_equal(got, want)

@@ -103,27 +103,77 @@ def bounds_lookup(df: DataFrame, bounds: DataFrame) -> DataFrame:
 # -- lookup-table search ---------------------------------------------------
 
 
+def _darker(ground, canopy, vv, n_soils):
+    """How many of a row's sorted soils give less than is observed."""
+    n = len(vv)
+    low = np.zeros(n, int)
+    if n_soils <= 32:  # few: counted
+        for k in range(n_soils):
+            low += ground[k * n : (k + 1) * n] + canopy < vv
+        return low
+    rows, high = np.arange(n), np.full(n, n_soils)
+    for _ in range(n_soils.bit_length()):
+        middle = np.minimum((low + high) >> 1, n_soils - 1)
+        less = (ground.take(middle * n + rows) + canopy < vv) & (low < high)
+        np.copyto(high, middle, where=~less)
+        np.copyto(low, middle + 1, where=less)
+    return low
+
+
 def _first_least(vv, path, gain, axes, soil):
     """Grid cell with the smallest misfit per row, as ``(misfit, c, s, l, w)`` arrays.
 
-    The soil term depends on (s, l) alone and the canopy terms on (c, w) alone,
-    so each is evaluated on its own small grid; only a product, a sum and a
-    difference run over all cells. Cells come in (c, s, l, w) order and the
-    first of equals wins.
+    The soil term depends on (s, l) alone and the canopy terms on (c, w) alone.
+    Under one (c, w) the simulated power rises with the soil power, so the
+    soils are sorted once per row and the two next to the observation are
+    found; no other can be nearer. Cells come in (c, s, l, w) order
+    and the first of equals wins: where soils beyond those two are equally
+    near, as below a canopy that hides the ground, all of them are compared.
     """
-    soils = [(s, length, soil(s, length)) for s in axes["s"] for length in axes["l"]]
-    best = [np.full(vv.shape, np.inf)] + [np.full(vv.shape, np.nan) for _ in FIT_PARAMS]
-    for c in axes["c"]:
+    soils = [soil(s, length) for s in axes["s"] for length in axes["l"]]
+    n, n_soils, n_w = len(vv), len(soils), len(axes["w"])
+    powers = np.stack([np.broadcast_to(p, vv.shape) for p in soils], axis=1)
+    order = np.argsort(powers, axis=1, kind="stable")
+    # soil by soil from here on, as flat arrays
+    ranked = np.take_along_axis(powers, order, axis=1).T.ravel()
+    order = order.T.ravel()
+    rows, most = np.arange(n), (n_soils - 1) * n
+    best, cell = np.full(vv.shape, np.inf), np.full(vv.shape, -1)
+    for i, c in enumerate(axes["c"]):
         through = np.exp(path * c)
-        own = [(w, w * gain * (1.0 - through)) for w in axes["w"]]
-        for s, length, power in soils:
-            ground = power * through
-            for w, canopy in own:
-                misfit = np.abs(vv - (ground + canopy))
-                better = misfit < best[0]
-                for kept, candidate in zip(best, (misfit, c, s, length, w)):
-                    np.copyto(kept, candidate, where=better)
-    return best
+        ground = (ranked.reshape(n_soils, n) * through).ravel()
+        for j, w in enumerate(axes["w"]):
+            canopy = w * gain * (1.0 - through)
+
+            def misfit(place):
+                found = np.abs(vv - (ground.take(place) + canopy))
+                found[np.isnan(found)] = np.inf
+                return found
+
+            at = _darker(ground, canopy, vv, n_soils) * n + rows
+            below, above = np.maximum(at - n, rows), np.minimum(at, most + rows)
+            near, far = misfit(below), misfit(above)
+            least = np.minimum(near, far)
+            here, there = order.take(below), order.take(above)
+            first = np.where(near == far, np.minimum(here, there), np.where(near < far, here, there))
+            alike = (misfit(np.maximum(below - n, rows)) == least) & (below >= n)
+            alike |= (misfit(np.minimum(above + n, most + rows)) == least) & (above < most)
+            level = np.flatnonzero(alike)
+            if len(level):
+                every = level + n * np.arange(n_soils)[:, None]
+                same = np.abs(vv[level] - (ground[every] + canopy[level])) == least[level]
+                first[level] = np.where(same, order[every], n_soils).min(axis=0)
+            number = (i * n_soils + first) * n_w + j
+            better = (least < best) | ((least == best) & (number < cell))
+            np.copyto(best, least, where=better)
+            np.copyto(cell, number, where=better)
+    found = cell >= 0
+    steps = (cell // (n_w * n_soils), cell // n_w % n_soils // len(axes["l"]), cell // n_w % len(axes["l"]), cell % n_w)
+    out = [best]
+    for p, step in zip(FIT_PARAMS, steps):
+        values = np.stack([np.broadcast_to(v, vv.shape) for v in axes[p]], axis=1)
+        out.append(np.where(found, values[rows, np.maximum(step, 0)], np.nan))
+    return out
 
 
 # the search is sent to the workers whole, so they need not have this package
@@ -183,8 +233,8 @@ def lut_inversion(
     over one coarse step around the best cell, kept inside the bounds. Each
     observation is solved from its own row: no rows are multiplied and nothing
     is shuffled. Everything that does not depend on the cell is a column; the
-    loop over cells runs on Arrow batches, since nested higher-order functions
-    are interpreted cell by cell (60,000 rows in one task: 7.7 s against 1.3 s).
+    search runs on Arrow batches, since nested higher-order functions are
+    interpreted cell by cell.
     Rows lacking an input get NULL parameters. Adds ``d, c, s, l, w, cost``
     (squared misfit) and ``grid_step`` (last step as a share of the range).
     """

@@ -161,14 +161,17 @@ CTE = {
     "holdout": f"SELECT *, {PRED_STAND_IN} FROM scenes",
     **{name: literal_sql(name) for name in TABLES},
 }
+#: first letters of tables that are read more than once and dear to compute
+ONCE = ("wet", "ready", "coarse", "near", "fine")
 NEEDS = {"pheno": ("texture", "scenes"), "holdout": ("scenes",)}
 
 
 def with_tables(*names: str, **extra: str) -> str:
-    """``WITH`` clause defining the named tables and any ``extra`` ones, in order."""
+    """``WITH`` clause defining the named tables and any ``extra`` ones, in order; those in ``ONCE`` are kept, not expanded."""
     parts: dict[str, str] = {}
     for name in names:
         for dep in (*NEEDS.get(name, ()), name):
             parts[dep] = CTE[dep]
     parts.update(extra)
-    return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in parts.items()) + "\n"
+    kept = {name: " MATERIALIZED" if name.startswith(ONCE) else "" for name in parts}
+    return "WITH " + ",\n".join(f"{name} AS{kept[name]} ({sql})" for name, sql in parts.items()) + "\n"

@@ -250,35 +250,35 @@ PARAMS = ("c", "s", "l", "w")
 
 def lut_tables(bounds: str, tag: str = "") -> dict[str, str]:
     """CTEs of one inversion pass over ``pheno`` with the given bounds table; the last is ``done``."""
-    grid = "SELECT a.i AS ic, b.i AS is_, c.i AS il, d.i AS iw FROM idx a, idx b, idx c, idx d"
-
-    def cells(source: str, lo: str, hi: str) -> str:
-        index = {"c": "ic", "s": "is_", "l": "il", "w": "iw"}
-        steps = ", ".join(
-            f"{lo.format(p=p)} + ({hi.format(p=p)} - {lo.format(p=p)})*{index[p]}/2e0 AS {p}" for p in PARAMS
-        )
-        return (
-            f"SELECT obs_id, min(struct_pack(cost := pow(vv_p - (soil*t + 0.75e0*w*cos(radians(angle))*(1 - t)), 2), c := c, s := s, l := l, w := w)) AS best"
-            f" FROM (SELECT *, {spm_sql('s', 'l')} AS soil, exp(-2e0*c*sqrt(rvi)*height/cos(radians(angle))) AS t"
-            f" FROM (SELECT obs_id, vv_p, rvi, height, eps, angle, {steps} FROM {source}, grid{tag})) GROUP BY obs_id"
-        )
+    def at(p: str, i: str, lo: str, hi: str) -> str:
+        return f"{lo.format(p=p)} + ({hi.format(p=p)} - {lo.format(p=p)})*{i}.i/2e0 AS {p}"
+
+    def cells(name: str, source: str, lo: str, hi: str) -> dict[str, str]:
+        """Soil terms on the cells of (s, l), canopy terms on those of (c, w), and the best of their pairs."""
+        two = lambda p, q: f"{at(p, 'a', lo, hi)}, {at(q, 'b', lo, hi)} FROM {source}, idx{tag} a, idx{tag} b"
+        return {
+            f"soils_{name}{tag}": f"SELECT n, s, l, {spm_sql('s', 'l')} AS soil FROM (SELECT n, eps, angle, {two('s', 'l')})",
+            f"canopies_{name}{tag}": "SELECT n, vv_p, c, w, t, 0.75e0*w*cos(radians(angle))*(1 - t) AS canopy FROM ("
+            f"SELECT *, exp(-2e0*c*sqrt(rvi)*height/cos(radians(angle))) AS t FROM (SELECT n, vv_p, rvi, height, angle, {two('c', 'w')}))",
+            f"{name}{tag}": "SELECT n, min(struct_pack(cost := pow(vv_p - (soil*t + canopy), 2), c := c, s := s, l := l, w := w)) AS best"
+            f" FROM soils_{name}{tag} JOIN canopies_{name}{tag} USING (n) GROUP BY n",
+        }
 
     near_lo = "greatest({p}_lo, best.{p} - ({p}_hi - {p}_lo)*0.25e0)"
     near_hi = "least({p}_hi, best.{p} + ({p}_hi - {p}_lo)*0.25e0)"
     return {
         f"bw{tag}": BOUNDS_WIDE + f" FROM {bounds} GROUP BY lc",
         f"idx{tag}": "SELECT unnest([0, 1, 2]) AS i",
-        f"grid{tag}": grid.replace("idx", f"idx{tag}"),
         f"routed{tag}": f"SELECT h.*, bw{tag}.* EXCLUDE (lc), CASE WHEN h.lc IN ('30', '34') OR h.lc NOT IN (SELECT lc FROM crop_height)"
         f" OR h.lc NOT IN (SELECT lc FROM {bounds}) THEN 'bare' ELSE 'crop' END AS route"
         f" FROM h LEFT JOIN bw{tag} ON h.lc = bw{tag}.lc",
-        f"ready{tag}": f"SELECT * FROM routed{tag} WHERE height IS NOT NULL AND rvi IS NOT NULL AND eps IS NOT NULL AND c_lo IS NOT NULL",
-        f"coarse{tag}": cells(f"ready{tag}", "{p}_lo", "{p}_hi"),
-        f"near{tag}": f"SELECT r.obs_id, r.vv_p, r.rvi, r.height, r.eps, r.angle, "
+        f"ready{tag}": f"SELECT row_number() OVER () AS n, * FROM routed{tag} WHERE height IS NOT NULL AND rvi IS NOT NULL AND eps IS NOT NULL AND c_lo IS NOT NULL",
+        **cells("coarse", f"ready{tag}", "{p}_lo", "{p}_hi"),
+        f"near{tag}": f"SELECT r.n, r.obs_id, r.vv_p, r.rvi, r.height, r.eps, r.angle, "
         + ", ".join(f"{near_lo.format(p=p)} AS {p}_lo, {near_hi.format(p=p)} AS {p}_hi" for p in PARAMS)
-        + f" FROM ready{tag} r JOIN coarse{tag} USING (obs_id)",
-        f"fine{tag}": cells(f"near{tag}", "{p}_lo", "{p}_hi"),
-        f"fit{tag}": f"SELECT r.*, best.c AS c, best.s AS s, best.l AS l, best.w AS w FROM routed{tag} r LEFT JOIN fine{tag} USING (obs_id)",
+        + f" FROM ready{tag} r JOIN coarse{tag} USING (n)",
+        **cells("fine", f"near{tag}", "{p}_lo", "{p}_hi"),
+        f"fit{tag}": f"SELECT r.*, best.c AS c, best.s AS s, best.l AS l, best.w AS w FROM routed{tag} r LEFT JOIN (SELECT obs_id, best FROM fine{tag} JOIN near{tag} USING (n)) USING (obs_id)",
         f"parts{tag}": "SELECT * REPLACE (CASE WHEN route = 'bare' THEN 0.01e0 ELSE s END AS s, CASE WHEN route = 'bare' THEN 0.1e0 ELSE l END AS l,"
         " CASE WHEN route = 'crop' THEN c END AS c, CASE WHEN route = 'crop' THEN w END AS w,"
         " CASE WHEN route = 'crop' THEN height END AS height) FROM fit" + tag,
