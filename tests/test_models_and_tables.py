@@ -1,6 +1,7 @@
 """Splits, forest, scores and validation tables."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +112,41 @@ def test_backfill_without_a_target_column(spark):
     assert rows == {"a": 0.3, "b": None}
     with pytest.raises(ValueError):
         val.backfill_target(held.select("ssm_pred"), seen, "ssm")
+
+
+def test_rollup_is_the_groups_the_margins_and_the_total(spark):
+    rng = np.random.default_rng(4)
+    n = 400
+    frame = pd.DataFrame({"station": rng.choice(["a", "b", None], n), "year": rng.integers(2019, 2022, n), "ssm": rng.random(n), "x": 1})
+    frame["ssm_pred"] = frame["ssm"] + rng.normal(size=n) * 0.1
+    table = spark.createDataFrame([tuple(None if v is None else v for v in r) for r in frame.itertuples(index=False)], "station string, year long, ssm double, x long, ssm_pred double")
+    got = {(r.level, r.station, r.year): r for r in val.metrics_rollup(table, by=["station", "year"]).collect()}
+    parts = [(["station", "year"], val.grouped_metrics(table, by=["station", "year"])), (["station"], val.grouped_metrics(table, by=["station"]))]
+    parts += [(["year"], val.grouped_metrics(table, by=["year"])), ([], val.overall_metrics(table))]
+    seen = 0
+    for keys, part in parts:
+        for r in part.collect():
+            own = r.asDict()
+            mine = got[",".join(keys) or "all", own.get("station"), own.get("year")].asDict()
+            seen += 1
+            assert all(mine[c] == pytest.approx(v) for c, v in own.items() if c not in keys)
+    assert seen == len(got) == 9 + 3 + 3 + 1
+    assert {r.level for r in val.metrics_rollup(table, by=["station", "year"], sets=[["year"], []]).collect()} == {"year", "all"}
+    empty = table.withColumn("ssm_pred", F.lit(None).cast("double"))
+    for column in ("n", "rmse", "level"):
+        with pytest.raises(Exception, match="no valid pairs"):
+            val.metrics_rollup(empty, by=["station"]).select(column).collect()
+
+
+def test_binned_curve_counts_every_row_once(spark):
+    frame = pd.DataFrame({"x": [float(i // 3) for i in range(100)], "y": range(100), "year": [i % 2 for i in range(100)]})
+    table = spark.createDataFrame(frame).union(spark.createDataFrame([(None, 1, 0)], "x double, y long, year long"))
+    rows = val.binned_curve(table, "x", "y", by=["year"], bins=4).collect()
+    assert sum(r.n for r in rows) == 100
+    edges = np.quantile(frame["x"], [0.25, 0.5, 0.75], method="inverted_cdf")
+    want = frame.assign(bin=np.searchsorted(edges, frame["x"], side="left")).groupby(["bin", "year"])
+    assert {(r.bin, r.year): (r.n, r.mean_y) for r in rows} == {k: (len(g), g["y"].mean()) for k, g in want}
+    assert val.binned_curve(table.limit(0), "x", "y", by=["year"]).count() == 0
+    assert [r.n for r in val.binned_curve(table, "x", "y", by=[], bins=1).collect()] == [100]
+    with pytest.raises(ValueError):
+        val.binned_curve(table, "x", "y", bins=0)

@@ -191,3 +191,17 @@ def test_daily_sums_and_calendar(spark):
     daily = ops.daily_midrange(rain, {"mid": "prcp"})
     dense = ops.calendar_densify(daily).filter("station = 'a'").orderBy("day").collect()
     assert [r.mid for r in dense] == [1.5, None, None, None, 1.0]
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_rain_is_pooled_only_where_no_station_has_any(spark, known):
+    rows = [("dry", "a", "2020-05-01", 0.0), ("dry", "b", "2020-05-03", 0.0), ("odd", None, "2020-05-01", 1.0), ("odd", None, "2020-05-03", 2.0), ("odd", "a", "2020-05-04", 0.0)]
+    rows += [("wet", "a", "2020-05-01", 4.0), ("wet", "a", "2020-05-03", 1.0), ("wet", "b", "2020-05-02", 0.0), ("wet", None, "2020-05-09", 7.0)] if known else []
+    rain = spark.createDataFrame(rows, "panel string, station string, day string, prcp double").withColumn("date", F.to_timestamp("day").cast("timestamp_ntz"))
+    got = [(r.panel, r.station, r.pooled, r.day.day, r.total) for r in ops.daily_sum_or_pooled(rain, "prcp", within=["panel"]).collect()]
+    odd = [("odd", None, True, d, t) for d, t in ((1, 1.0), (2, 0.0), (3, 2.0), (4, 0.0))]
+    wet = [("wet", "a", False, d, t) for d, t in ((1, 4.0), (2, 0.0), (3, 1.0))] if known else []
+    assert sorted(got, key=str) == sorted(odd + wet, key=str)
+    all_in_one = ops.daily_sum_or_pooled(rain.where("panel <> 'wet'"), "prcp").collect()
+    assert {r.pooled for r in all_in_one} == {True}
+    assert ops.daily_sum_or_pooled(rain.limit(0), "prcp").count() == 0

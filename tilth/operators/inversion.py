@@ -347,11 +347,12 @@ def validate_bounds(bounds: DataFrame) -> DataFrame:
     message = F.concat(F.lit("bounds not finite: "), F.coalesce("lc", F.lit("?")), F.lit(":"), F.col("param"))
     lo, hi = F.least("lo", "hi"), F.greatest("lo", "hi")
     seed = F.greatest(lo, F.least(F.col("seed"), hi))
-    checked = F.when(bad, F.raise_error(message).cast("double")).otherwise(lo)
-    return bounds.select(
+    # in a filter, so that it holds whichever columns are read
+    checked = bounds.filter(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    return checked.select(
         "lc",
         "param",
-        checked.alias("lo"),
+        lo.alias("lo"),
         seed.alias("seed"),
         F.when(lo == hi, lo + EQUAL_BOUNDS_NUDGE).otherwise(hi).alias("hi"),
     )

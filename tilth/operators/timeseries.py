@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -127,6 +128,42 @@ def daily_sum_dense(
     )
 
 
+def daily_sum_or_pooled(
+    df: DataFrame, col: str, by: Sequence[str] = ("station",), within: Sequence[str] = (), ts: str = "date"
+) -> DataFrame:
+    """Daily totals per series, and where no series of a panel survives, those of all its rows together.
+
+    As :func:`daily_sum_dense`; both kinds come from one aggregate, and the data
+    tell which stays. ``pooled`` marks the totals over all rows, whose ``by``
+    columns are NULL; rows with a NULL there belong to no series, but are
+    pooled. ``within`` are the panels that are settled apart.
+    """
+    by, within = list(by), list(within)
+    rows = df.filter(F.col(ts).isNotNull()).select(*within, *by, day(ts).alias("day"), F.col(col).alias("__v"))
+    sets = [[*within, *by, "day"], [*within, "day"]]
+    daily = rows.groupingSets(sets, *within, *by, "day").agg(
+        F.sum("__v").alias("total"), (F.grouping(by[0]) == 1).alias("pooled")
+    )
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in by])
+    daily = daily.filter(F.col("pooled") | known)
+    spans = (
+        daily.groupBy(*within, *by, "pooled")
+        .agg(F.min("day").alias("__lo"), F.max("day").alias("__hi"), F.sum(F.abs("total")).alias("__size"))
+        .filter("__size > 0")
+    )
+    # a row per series
+    alone = F.count_if(~F.col("pooled")).over(Window.partitionBy(F.lit(0), *within)) == 0
+    kept = spans.withColumn("__alone", alone).filter(~F.col("pooled") | F.col("__alone"))
+    grid = kept.select(*within, *by, "pooled", F.explode(F.sequence("__lo", "__hi")).alias("day")).alias("g")
+    own = daily.alias("d")
+    same = reduce(
+        lambda a, b: a & b, [F.col(f"g.{c}").eqNullSafe(F.col(f"d.{c}")) for c in [*within, *by, "pooled", "day"]]
+    )
+    return grid.join(own, same, "left").select(
+        *[F.col(f"g.{c}") for c in [*within, *by, "pooled", "day"]], F.coalesce("d.total", F.lit(0.0)).alias("total")
+    )
+
+
 def spans_of_consecutive_days(days: DataFrame, by: Sequence[str] = (), day_col: str = "day") -> DataFrame:
     """Collapse a set of distinct days into [start, end] spans; a missing day splits.
 

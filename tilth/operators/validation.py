@@ -75,8 +75,9 @@ def metric_columns(obs: Column, pred: Column) -> list[Column]:
 
 
 def _require_pairs(metrics: DataFrame) -> DataFrame:
-    message = F.raise_error(F.lit("metrics: a group has no valid pairs")).cast("double")
-    return metrics.withColumn("rmse", F.when(F.col("n") == 0, message).otherwise(F.col("rmse")))
+    """Fails the job where a group has no valid pair, whichever columns are read."""
+    message = F.raise_error(F.lit("metrics: a group has no valid pairs")).cast("boolean")
+    return metrics.filter(F.when(F.col("n") == 0, message).otherwise(F.lit(True)))
 
 
 def pairwise_metrics(df: DataFrame, obs: str, pred: str) -> DataFrame:
@@ -96,6 +97,26 @@ def overall_metrics(df: DataFrame, target: str = "ssm") -> DataFrame:
     return pairwise_metrics(df, target, f"{target}_pred")
 
 
+def metrics_rollup(
+    df: DataFrame,
+    target: str = "ssm",
+    by: Sequence[str] = ("station", "year", "lc"),
+    sets: Sequence[Sequence[str]] | None = None,
+) -> DataFrame:
+    """Metrics of all groups, of the margins of each column, and of the whole table, in one aggregate.
+
+    ``sets`` names other groupings (subsets of ``by``). ``level`` has the
+    columns a row is grouped by, or ``all``: a NULL in one of them is a group
+    of rows without that value, a NULL elsewhere means all values.
+    """
+    by = list(by)
+    sets = [list(s) for s in sets] if sets is not None else [by, *([c] for c in by if len(by) > 1), []]
+    names = F.concat_ws(",", *(F.when(F.grouping(c) == 0, F.lit(c)) for c in by))
+    columns = metric_columns(F.col(target), F.col(f"{target}_pred"))
+    level = F.when(names == "", F.lit("all")).otherwise(names).alias("level")
+    return _require_pairs(df.groupingSets(sets, *by).agg(level, *columns))
+
+
 def backfill_target(
     holdout: DataFrame, observed: DataFrame, target: str, keys: Sequence[str] = ("station", "year", "lc", "doy", "date")
 ) -> DataFrame:
@@ -264,10 +285,33 @@ def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
 
 
 def seasonal_curve(
-    df: DataFrame, x: str, measure: str, by: Sequence[str] = ("year", "lc")
+    df: DataFrame, x: str, measures: Sequence[str], by: Sequence[str] = ("year", "lc")
 ) -> DataFrame:
-    """Mean of a measure at each x per year and crop, as a line plot averages replicates."""
-    return df.groupBy(x, *by).agg(F.avg(measure).alias(f"mean_{measure}"))
+    """Mean of each measure at each x per year and crop, and the rows, as a line plot averages replicates."""
+    return df.groupBy(x, *by).agg(*[F.avg(m).alias(f"mean_{m}") for m in measures], F.count(F.lit(1)).alias("n"))
+
+
+def binned_curve(
+    df: DataFrame, x: str, measure: str, by: Sequence[str] = ("year", "lc"), bins: int = 20, accuracy: int = 100_000
+) -> DataFrame:
+    """A measure against a real-valued x: mean of both per bin of x and group, and the rows; runs a job.
+
+    Bins hold about equally many rows of the whole table; their edges come
+    from a quantile sketch, exact up to ``accuracy`` rows and off by one part
+    in ``accuracy`` of the rows beyond. An edge belongs to the bin below it.
+    Rows without x or the measure are left out.
+    """
+    if bins < 1:
+        raise ValueError("bins must be at least 1")
+    known = df.filter(F.col(x).isNotNull() & F.col(measure).isNotNull())
+    shares = [i / bins for i in range(1, bins)]
+    edges = (known.agg(F.percentile_approx(x, shares, accuracy)).first()[0] if shares else None) or []
+    at = reduce(lambda a, b: a + b, [(F.col(x) > F.lit(float(e))).cast("int") for e in edges], F.lit(0))
+    return (
+        known.withColumn("bin", at)
+        .groupBy("bin", *by)
+        .agg(F.avg(x).alias(f"mean_{x}"), F.avg(measure).alias(f"mean_{measure}"), F.count(F.lit(1)).alias("n"))
+    )
 
 
 def daily_mean_and_sum_outer(

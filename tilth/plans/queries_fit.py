@@ -21,21 +21,21 @@ from tilth.sources.sinks import IterationStore, attach_manifest, latest_manifest
     "asof_nearest_join",
     with_tables(
         "readings",
-        l="SELECT event_id, station, date, value AS prcp FROM readings WHERE sensor = 'Precipitation totals'",
+        l="SELECT event_id, station, date, value FROM readings",
         r="SELECT station, date AS rdate, value AS airt FROM readings WHERE sensor = 'Air temperature'",
     )
     + """, near AS (SELECT l.event_id, r.airt, row_number() OVER (PARTITION BY l.event_id
             ORDER BY abs(epoch_us(l.date) - epoch_us(r.rdate)), r.rdate) AS rn
           FROM l JOIN r ON l.station = r.station AND abs(epoch_us(l.date) - epoch_us(r.rdate)) <= 7200000000)
-      SELECT l.event_id, l.station, l.date, round(l.prcp, 6) AS prcp, round(n.airt, 6) AS airt
+      SELECT l.event_id, l.station, l.date, round(l.value, 6) AS value, round(n.airt, 6) AS airt
       FROM l LEFT JOIN near n ON l.event_id = n.event_id AND n.rn = 1""",
 )
 def asof_nearest_join(spark, sf_dir):
     readings = b.readings(spark, sf_dir)
-    left = readings.filter("sensor = 'Precipitation totals'").selectExpr("event_id", "station", "date", "value AS prcp")
+    left = readings.select("event_id", "station", "date", "value")
     right = readings.filter("sensor = 'Air temperature'").selectExpr("event_id AS rid", "station", "date", "value AS airt")
     out = asof_nearest(left, right, right_ids=["rid"])
-    return rounded(out.select("event_id", "station", "date", "prcp", "airt"))
+    return rounded(out.select("event_id", "station", "date", "value", "airt"))
 
 
 @query(

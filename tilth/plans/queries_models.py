@@ -12,7 +12,7 @@ from tilth.operators import validation as val
 from tilth.plans import bindings as b
 from tilth.plans.bindings import with_tables
 from tilth.plans.pipeline import growth
-from tilth.plans.queries_fit import GROWTH_TABLES, STAGE_TABLES, stage_sql
+from tilth.plans.queries_fit import GROWTH_TABLES, STAGE_TABLES, gappy_scenes, stage_sql
 from tilth.plans.queries_readings import WIDE_SQL, wide
 from tilth.plans.registry import query, rounded
 from tilth.session import delete_at_end, scratch_path
@@ -303,6 +303,20 @@ def grouped_metrics(spark, sf_dir):
     return rounded(val.grouped_metrics(gappy_holdout(spark, sf_dir), by=["station", "year"]))
 
 
+@query(
+    "metrics_rollup",
+    with_tables("holdout", g=GAPPY_HOLDOUT)
+    + f"""SELECT station, CAST(year AS VARCHAR) AS year, lc, CASE WHEN names = '' THEN 'all' ELSE names END AS level, * EXCLUDE (station, year, lc, names) FROM (
+      SELECT station, year, lc, concat_ws(',', CASE WHEN grouping(station) = 0 THEN 'station' END, CASE WHEN grouping(year) = 0 THEN 'year' END,
+        CASE WHEN grouping(lc) = 0 THEN 'lc' END) AS names, {metrics_sql('ssm', 'ssm_pred').replace(', 6)', ' + 1e-8, 6)')} FROM g WHERE ssm IS NOT NULL
+      GROUP BY GROUPING SETS ((station, year, lc), (station), (year), (lc), ()))""",
+)
+def metrics_rollup(spark, sf_dir):
+    """Groups, margins and total at once; rows without a station are a group, not a total."""
+    told = gappy_holdout(spark, sf_dir).filter("ssm IS NOT NULL").withColumn("year", F.col("year").cast("string"))
+    return rounded(val.metrics_rollup(told), nudge=1e-8)
+
+
 @query(
     "overall_metrics",
     with_tables("holdout") + f"SELECT {metrics_sql('ssm', 'ssm_pred')} FROM holdout",
@@ -390,6 +404,27 @@ def daily_precip_dense(spark, sf_dir):
     return rounded(ts_ops.daily_sum_dense(rain, "prcp"))
 
 
+@query(
+    "daily_precip_pooled",
+    with_tables("readings", wide=WIDE_SQL, rain=RAIN_SQL)
+    + """, own AS (SELECT month(date) % 3 AS panel, CASE WHEN month(date) % 3 <> 1 THEN station END AS station, CAST(date AS DATE) AS day, prcp FROM rain),
+      daily AS (SELECT panel, station, day, false AS pooled, sum(prcp) AS total FROM own WHERE station IS NOT NULL GROUP BY ALL
+        UNION ALL SELECT panel, NULL, day, true, sum(prcp) FROM own GROUP BY ALL),
+      span AS (SELECT panel, station, pooled, min(day) AS lo, max(day) AS hi FROM daily GROUP BY ALL HAVING sum(abs(total)) > 0),
+      kept AS (SELECT * FROM span s WHERE NOT pooled OR NOT EXISTS (SELECT 1 FROM span o WHERE o.panel = s.panel AND NOT o.pooled)),
+      grid AS (SELECT panel, station, pooled, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM kept)
+      SELECT CAST(g.panel AS INTEGER) AS panel, g.station, g.pooled, g.day, round(coalesce(d.total, 0), 6) AS total FROM grid g LEFT JOIN daily d
+        ON d.panel = g.panel AND d.station IS NOT DISTINCT FROM g.station AND d.pooled = g.pooled AND d.day = g.day""",
+)
+def daily_precip_pooled(spark, sf_dir):
+    """Three panels of months; one has no stations, so its rain is pooled, the others have a series for each."""
+    rain = wide(spark, sf_dir).filter("prcp IS NOT NULL AND day(date) % 6 <> 0")
+    rain = rain.withColumn("prcp", F.when(F.col("station") != "MB7", F.col("prcp")).otherwise(0.0))
+    rain = rain.withColumn("panel", F.month("date") % 3)
+    rain = rain.withColumn("station", F.when(F.col("panel") != 1, F.col("station")))
+    return rounded(ts_ops.daily_sum_or_pooled(rain, "prcp", within=["panel"]))
+
+
 @query(
     "daily_median_temperature",
     with_tables("readings", wide=WIDE_SQL)
@@ -479,13 +514,8 @@ CURVE_TABLES = dict(
 
 def flagship(spark, sf_dir) -> DataFrame:
     """Mean degree sum and stage by day of year, year and crop, from bare scenes."""
-    scenes = b.scenes(spark, sf_dir).withColumn("mean_airt", F.when(F.col("doy") % 7 != 0, F.col("mean_airt")))
-    grown = growth(scenes, b.small(spark, "crop_base"), b.small(spark, "crop_stage"))
-    return rounded(
-        grown.groupBy("doy", "year", "lc").agg(
-            F.avg("cum_gdd").alias("mean_cum_gdd"), F.avg("bbch").alias("mean_bbch"), F.count(F.lit(1)).alias("n")
-        )
-    )
+    grown = growth(gappy_scenes(spark, sf_dir), b.small(spark, "crop_base"), b.small(spark, "crop_stage"))
+    return rounded(val.seasonal_curve(grown, "doy", ["cum_gdd", "bbch"]))
 
 
 @query(
@@ -498,6 +528,23 @@ def seasonal_curve(spark, sf_dir):
     return flagship(spark, sf_dir)
 
 
+@query(
+    "moisture_by_degree_sum",
+    with_tables("scenes", "crop_base", "crop_stage", **CURVE_TABLES)
+    + """, sums AS (SELECT year, lc, round(cum_gdd, 6) AS cum_gdd, round(cum_ssm, 6) AS cum_ssm FROM grown WHERE cum_gdd IS NOT NULL AND cum_ssm IS NOT NULL),
+      listed AS (SELECT quantile_disc(cum_gdd, [i/20.0 for i in range(1, 20)]) AS edges FROM sums)
+      SELECT CAST(len(list_filter(edges, lambda e: e < cum_gdd)) AS INTEGER) AS bin, year, lc, round(avg(cum_gdd) + 1e-8, 6) AS mean_cum_gdd,
+        round(avg(cum_ssm) + 1e-8, 6) AS mean_cum_ssm, count(*) AS n FROM sums, listed GROUP BY 1, 2, 3""",
+)
+def moisture_by_degree_sum(spark, sf_dir):
+    """The moisture sum against the degree sum in twenty bins, per year and crop.
+
+    Sums are rounded first: on days without growth they stand still, but for the last bits.
+    """
+    grown = growth(gappy_scenes(spark, sf_dir), b.small(spark, "crop_base"), b.small(spark, "crop_stage"))
+    return rounded(val.binned_curve(rounded(grown.select("year", "lc", "cum_gdd", "cum_ssm")), "cum_gdd", "cum_ssm"), nudge=1e-8)
+
+
 @query(
     "daily_mean_and_sum_outer",
     with_tables("readings", wide=WIDE_SQL)

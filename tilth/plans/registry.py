@@ -27,7 +27,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """All doubles rounded, so that engines agree on values."""
+def rounded(df: DataFrame, digits: int = 6, nudge: float = 0.0) -> DataFrame:
+    """All doubles rounded, so that engines agree on values.
+
+    Means of decimals often fall on the border between two roundings, where
+    the last bits decide; ``nudge`` is added first to move them off it.
+    """
     doubles = {name for name, kind in df.dtypes if kind == "double"}
-    return df.select(*[F.round(c, digits).alias(c) if c in doubles else F.col(c) for c in df.columns])
+    value = lambda c: F.col(c) + F.lit(nudge) if nudge else F.col(c)
+    return df.select(*[F.round(value(c), digits).alias(c) if c in doubles else F.col(c) for c in df.columns])

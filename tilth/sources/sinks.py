@@ -46,10 +46,11 @@ def write_new_stations(df: DataFrame, path: str) -> None:
     """
     spark = df.sparkSession
     done = _read_or_none(spark, f"{path}/_complete", struct("station string"))
-    new = df if done is None else absent_stations(df, done)
+    # written once: an input that changes in between can't mark stations complete that were not written
+    new = materialize(df if done is None else absent_stations(df, done), "new-stations")
     writer = new.hint("rebalance", "station").write.partitionBy("station").mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-    stations = materialize(new.select(F.col("station").cast("string").alias("station")).distinct(), "stations")
+    stations = new.select(F.col("station").cast("string").alias("station")).distinct()
     stations.write.mode("append").parquet(f"{path}/_complete")
 
 
