@@ -25,10 +25,10 @@ def lookup_base_temp(df: DataFrame, base: DataFrame) -> DataFrame:
 def _cumulative(df: DataFrame, inputs: dict[str, str], by, ts, ids) -> DataFrame:
     """Running totals; a NULL input gives NULL there and does not reset the total."""
     out, order, helpers = with_time_order(df, ts, ids)
-    summed = running(out, by, order, {name: ("sum", col) for name, col in inputs.items()})
+    summed = running(out, by, order, {name: ("sum", col) for name, col in inputs.items()}, helpers)
     return summed.withColumns(
         {name: F.when(F.col(col).isNotNull(), F.col(name)) for name, col in inputs.items()}
-    ).drop(*helpers)
+    )
 
 
 def cumulative_gdd(

@@ -39,10 +39,13 @@ def running(
     keys: Sequence[str],
     order: Sequence[str],
     specs: Specs,
+    drop: Sequence[str] = (),
 ) -> DataFrame:
     """Add the running values ``specs`` over ``keys``, ordered by ``order``; runs jobs.
 
-    Order columns tell the rows of a key apart, or a range can't cut between
+    The input is written first, so that it is computed once: finding the
+    ranges reads it too. ``drop`` names columns that only order the rows and
+    are not to be carried on. Order columns tell the rows of a key apart, or a range can't cut between
     them. A row with NULL in a key or order column belongs to no series: it is
     kept, with NULL running values. A task holds a few Arrow batches at a time.
     """
@@ -50,15 +53,16 @@ def running(
     placed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, *order]], F.lit(True))
     forward = {out: s for out, s in specs.items() if s[0] not in BACKWARD}
     backward = {out: s for out, s in specs.items() if s[0] in BACKWARD}
-    ranged = df.withColumn("__placed", placed).repartitionByRange("__placed", *keys, *order)
-    ranged = _pass(ranged.sortWithinPartitions("__placed", *keys, *order), keys, forward, first=True)
+    rows = materialize(df.withColumn("__placed", placed), "rows")
+    ranged = rows.repartitionByRange("__placed", *keys, *order).sortWithinPartitions("__placed", *keys, *order)
+    ranged = _pass(ranged.drop(*drop), keys, forward, first=True)
     if backward:
         ranged = _pass(ranged.sortWithinPartitions(F.desc("__at")), keys, backward, first=False)
     ranged = materialize(ranged, "ranges")
     carried = materialize(_carried(ranged.where("__placed"), keys, specs), "carried")
     joined = ranged.join(carried, on=["__part", *keys], how="left")
     return joined.select(
-        *[c for c in df.columns if c not in specs],
+        *[c for c in df.columns if c not in specs and c not in drop],
         *[F.when(F.col("__placed"), _combine(kind, out)).alias(out) for out, (kind, _) in specs.items()],
     )
 

@@ -37,12 +37,12 @@ def fill_forward_backward(
     ids: Sequence[str] | None = None,
 ) -> DataFrame:
     """Fill gaps with the last earlier reading, leading gaps with the first later one; runs jobs."""
-    out, order, _ = with_time_order(df, ts, ids)
+    out, order, helpers = with_time_order(df, ts, ids)
     specs = {}
     for c in cols:
         specs[f"__prev_{c}"] = ("last", c)
         specs[f"__next_{c}"] = ("next", c)
-    filled = running(out, by, order, specs)
+    filled = running(out, by, order, specs, helpers)
     return filled.select(
         *[
             F.coalesce(c, f"__prev_{c}", f"__next_{c}").alias(c) if c in cols else F.col(c)
@@ -64,12 +64,12 @@ def interpolate_linear(
     last reading. ``by=()`` runs over the whole table in time order.
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
-    out, order, _ = with_time_order(df, ts, ids)
+    out, order, helpers = with_time_order(df, ts, ids)
     specs = {"__pos": ("count", ts)}
     for c in cols:
         specs[f"__prev_{c}"] = ("last_at", c)
         specs[f"__next_{c}"] = ("next_at", c)
-    near = running(out, by, order, specs)
+    near = running(out, by, order, specs, helpers)
 
     def filled(c: str) -> Column:
         p0, v0 = F.col(f"__prev_{c}.p"), F.col(f"__prev_{c}.v")

@@ -106,8 +106,10 @@ def gappy_scenes(spark, sf_dir):
     + "SELECT obs_id, year, round(cum_gdd_air, 6) AS cum_gdd_air, round(cum_gdd_soil, 6) AS cum_gdd_soil FROM summed",
 )
 def cumulative_gdd(spark, sf_dir):
-    based = ph.lookup_base_temp(gappy_scenes(spark, sf_dir), b.small(spark, "crop_base"))
-    return rounded(ph.cumulative_gdd(based).select("obs_id", "year", "cum_gdd_air", "cum_gdd_soil"))
+    # running sums write their input, so only what is needed goes in
+    read = gappy_scenes(spark, sf_dir).select("obs_id", "year", "date", "lc", "mean_airt", "mean_sst")
+    summed = ph.cumulative_gdd(ph.lookup_base_temp(read, b.small(spark, "crop_base")))
+    return rounded(summed.select("obs_id", "year", "cum_gdd_air", "cum_gdd_soil"))
 
 
 @query(

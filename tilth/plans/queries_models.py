@@ -512,9 +512,15 @@ CURVE_TABLES = dict(
 )
 
 
+def grown_scenes(spark, sf_dir) -> DataFrame:
+    """Degree sums, moisture sum and stage of scenes, with the columns that curves need."""
+    read = gappy_scenes(spark, sf_dir).select("obs_id", "date", "year", "doy", "lc", "ssm", "sst", "mean_airt", "mean_sst")
+    return growth(read, b.small(spark, "crop_base"), b.small(spark, "crop_stage"))
+
+
 def flagship(spark, sf_dir) -> DataFrame:
     """Mean degree sum and stage by day of year, year and crop, from bare scenes."""
-    grown = growth(gappy_scenes(spark, sf_dir), b.small(spark, "crop_base"), b.small(spark, "crop_stage"))
+    grown = grown_scenes(spark, sf_dir)
     return rounded(val.seasonal_curve(grown, "doy", ["cum_gdd", "bbch"]))
 
 
@@ -541,7 +547,7 @@ def moisture_by_degree_sum(spark, sf_dir):
 
     Sums are rounded first: on days without growth they stand still, but for the last bits.
     """
-    grown = growth(gappy_scenes(spark, sf_dir), b.small(spark, "crop_base"), b.small(spark, "crop_stage"))
+    grown = grown_scenes(spark, sf_dir)
     return rounded(val.binned_curve(rounded(grown.select("year", "lc", "cum_gdd", "cum_ssm")), "cum_gdd", "cum_ssm"), nudge=1e-8)
 
 
