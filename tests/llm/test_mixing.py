@@ -3,7 +3,7 @@ import re
 import pandas as pd
 import pytest
 
-from tilth.llm.mixing import mix, mix_report, mixed, schedule, targets, word_counts
+from tilth.llm.mixing import draws_of, mix, mix_report, mixed, schedule, targets, word_counts
 
 
 def plain_targets(sizes):
@@ -77,3 +77,35 @@ def test_uses_are_whole_or_cut(spark):
     assert mix_report(docs.where("text is null")).collect()[0].taken == 0
     pieces, _ = mix(word_counts(docs))
     assert pieces.where("word_from < 0 or word_to <= word_from").count() == 0
+
+
+def test_draws_of_many_slots(spark):
+    draws = [0, 1_000_000_007, 1, 0, 2_500_000_000, 13]
+    plan = spark.createDataFrame(list(enumerate(draws)), "number long, draws long")
+    total = sum(draws)
+    firsts = [sum(draws[:i]) for i in range(len(draws))]
+    ids = sorted({i + d for i in [*firsts, total] for d in range(-3, 4) if 0 <= i + d < total} | set(range(0, total, 99_999_989)))
+    got = draws_of(spark.createDataFrame([(i,) for i in ids], "id long"), plan, total).collect()
+    owner = {i: max(n for n, f in enumerate(firsts) if f <= i and draws[n]) for i in ids}
+    assert sorted(map(tuple, got)) == sorted((owner[i], i - firsts[owner[i]]) for i in ids)
+
+
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    rows = [(1, "w " * 100, "a"), (1, "v " * 100, "a"), (1, "w " * 100, "a"), (1, "x " * 900, "b"), (None, "w", "a"), (1, None, "a"), (2, "y " * 7000, "b")]
+    docs = spark.createDataFrame(rows * 3, "doc_id long, text string, source string")
+    got = mix_report(docs).toPandas()
+    assert len(got) == 18
+    assert (got["taken"] <= 3 * got["size"]).all()
+    total = {}
+    for r in got.itertuples():
+        total.setdefault((r.source_size, r.target), []).append(r.taken)
+    assert len(total) == 2
+    assert all(abs(sum(t) - target) <= 0.5 for (_, target), t in total.items())
+    out = mixed(docs)
+    assert out.columns == docs.columns
+    used = {}
+    for r in out.collect():
+        used[r.text[0]] = used.get(r.text[0], 0) + len(r.text.split())
+    report = got.groupby("size")["taken"].sum()
+    assert used["w"] + used["v"] == report[100] and used["x"] == report[900] and used["y"] == report[7000]
+    assert sorted(got["taken"]) == sorted(mix_report(docs.repartition(5)).toPandas()["taken"])
