@@ -1,5 +1,6 @@
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -8,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tilth.llm import token_files
-from tilth.llm.packing import Shares, digest, pack
+from tilth.llm.packing import Shares, digest, pack, part_of, phases
 from tilth.llm.tokens import Encoder
 
 BPE, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -85,6 +86,73 @@ def test_shares_rise_and_end_together():
         assert (np.asarray(sums, object) == np.minimum(last.astype(object) * 16, sum(totals))).all()
 
 
+def test_parts_of_large_counts_are_exact():
+    rng = np.random.default_rng(2)
+    for bits in (3, 31, 33, 49):
+        for _ in range(50):
+            c = int(rng.integers(1, 1 << bits)) + 1
+            b = int(rng.integers(0, c + 1))
+            a = np.unique(np.concatenate([rng.integers(0, c + 1, 200), [0, c, c - 1]]))
+            assert part_of(a, b, c).tolist() == [x * b // c for x in a.tolist()]
+
+
+def served(totals, weights):
+    """Tokens of each source after each token: phase by phase, the sources nested as two queues at a time."""
+    given, out = [0] * len(totals), [[0] * len(totals)]
+    while any(g < n for g, n in zip(given, totals)):
+        open_ = [s for s, (g, n) in enumerate(zip(given, totals)) if g < n and weights[s] > 0]
+        open_ = open_ or [s for s, (g, n) in enumerate(zip(given, totals)) if g < n]
+        if all(weights[s] > 0 for s in open_):
+            level = min(Fraction(totals[s]) / weights[s] for s in open_)
+            upto = [min(n, int(weights[s] * level)) if s in open_ else given[s] for s, n in enumerate(totals)]
+        else:
+            upto = totals
+        own = [u - g for u, g in zip(upto, given)]
+        for t in range(1, sum(own) + 1):
+            taken, left = [0] * len(own), t
+            for s in range(len(own) - 1, 0, -1):
+                all_, rest = sum(own[: s + 1]), sum(own[:s])
+                low = left * rest // all_ if all_ else 0
+                taken[s], left = left - low, low
+            taken[0] = left
+            out.append([g + x for g, x in zip(given, taken)])
+        given = list(upto)
+    return out
+
+
+def test_targets_hold_until_a_queue_ends():
+    rng = np.random.default_rng(3)
+    cases = [([7, 5], [1, 1]), ([40, 3, 90], [2, 1, 0]), ([5], [0]), ([30, 30], [0, 0])]
+    cases += [(rng.integers(1, 300, 5).tolist(), rng.integers(0, 6, 5).tolist()) for _ in range(30)]
+    for totals, weights in cases:
+        shares = Shares(totals, 8, weights)
+        want = served(totals, weights)
+        windows = np.arange(shares.windows + 1)
+        for s in range(len(totals)):
+            before, upto = shares.given(s, windows)
+            assert (upto - before).tolist() == [want[min(8 * w, sum(totals))][s] for w in windows.tolist()]
+    assert [sum(c) for c in zip(*phases([100, 7, 60], [0.5, 0.3, 0]))] == [100, 7, 60]
+
+
+def test_windows_hold_target_shares(spark, tokenizer):
+    frame = corpus()
+    docs = spark.createDataFrame(frame).repartition(3)
+    names = sorted(frame.source.dropna().unique())
+    targets = {names[0]: 3.0, None: 1.0}
+    got = pack(docs, BPE, RANKS, window=64, targets=targets).toPandas()
+    ids = {d: tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for d, t in zip(frame.doc_id, frame.text)}
+    for d, own in got.sort_values("start").groupby("doc_id"):
+        assert np.frombuffer(b"".join(own.ids), "<u4").tolist() == ids[d]
+    assert set(got.doc_id) == set(frame.doc_id)
+    source = dict(zip(frame.doc_id, frame.source.fillna("?")))
+    by = got.assign(s=got.doc_id.map(source)).groupby(["sequence_id", "s"]).length.sum().unstack(fill_value=0)
+    both = by[(by.get("?", 0) > 0) & (by[names[0]] > 0)].index.max()
+    assert ((by.loc[: both - 1, names[0]] - 48).abs() < 3).all() and ((by.loc[: both - 1, "?"] - 16).abs() < 3).all()
+    assert (by.sum(axis=1).iloc[:-1] == 64).all()
+    with pytest.raises(ValueError):
+        pack(docs, BPE, targets={"a": -1.0})
+
+
 def test_counts_from_scanned_files(spark, tokenizer):
     frame = corpus()
     docs = spark.createDataFrame(frame).repartition(3)

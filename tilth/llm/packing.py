@@ -1,16 +1,19 @@
-"""Mixture-controlled packing: every window takes from each source its share of tokens.
+"""Mixture-controlled packing: every window takes from each source its target share of tokens.
 
 Sources are queues of tokens, and windows of 1024 tokens are filled round robin. What a
-window owes a source beyond whole tokens is its deficit, carried to the next window. After
-w windows the first s sources together have given floor(P * Q(s) / Q(s + 1)) tokens, P being
-what the first s + 1 have given and Q their tokens in all; so the state at any window is
-known without the windows before, each task serves its own stretch of the queues, and all
-queues end with the last window.
+window owes a source beyond whole tokens is its deficit, carried to the next window. The
+shares hold until a queue ends, then the others share by their targets: a phase. After P
+tokens of a phase's first s + 1 sources the first s have given floor(P * Q(s) / Q(s + 1)),
+Q being their tokens of the phase; so the state at any window is known without the windows
+before, and each task serves its own stretch of the queues. Without targets a source's share
+is that of all tokens, and all queues end with the last window.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -52,23 +55,58 @@ def tokenised(docs: DataFrame, path: str, ranks: str | None = None, end: int = E
     return source.mapInArrow(run, f"part int, source string, doc_id {kind}, place long, n long, ids binary")
 
 
+#: Token counts below this are told apart by a double's product to within one.
+MOST = 1 << 50
+
+
+def part_of(a: np.ndarray, b: int, c: int) -> np.ndarray:
+    """floor(a * b / c) of counts below ``MOST``, a and b at most c: a double is off by one at most, and wrapped 64-bit differences tell by what."""
+    near = np.floor(a * (b / c)).astype(np.int64)
+    return near + (a * np.int64(b) - near * np.int64(c)) // c
+
+
+def phases(totals: list[int], weights: list[float] | None = None) -> list[list[int]]:
+    """Tokens of each source in each phase; a phase ends with the queue that ends next. Sources without a weight share the last one."""
+    if weights is None:
+        return [totals]
+    shares = [Fraction(w) for w in weights]
+    reached, found = [0] * len(totals), []
+    for level in sorted({n / w for n, w in zip(totals, shares) if w > 0}):
+        now = [min(n, int(w * level)) for n, w in zip(totals, shares)]
+        found.append([b - a for a, b in zip(reached, now)])
+        reached = now
+    found.append([n - a for a, n in zip(reached, totals)])
+    return [own for own in found if any(own)]
+
+
 class Shares:
     """How many tokens each source has given after any number of windows. totals: tokens of each source, none zero."""
 
-    def __init__(self, totals: list[int], window: int = WINDOW):
-        self.window, self.totals = window, totals
-        self.upto = np.cumsum(np.array(totals, object)).tolist()
-        self.all = self.upto[-1] if totals else 0
+    def __init__(self, totals: list[int], window: int = WINDOW, weights: list[float] | None = None):
+        self.window, self.totals, self.all = window, totals, sum(totals)
+        if self.all >= MOST:
+            raise ValueError(f"packs fewer than {MOST} tokens")
         self.windows = -(-self.all // window)
-        #: Products of two token counts fit 64 bits up to three billion tokens; beyond, Python's own integers count.
-        self.kind = np.int64 if self.all < 1 << 31 else object
+        parts = phases(totals, weights)
+        #: Per phase: tokens of the first sources in it, and its place among all tokens.
+        self.upto = [np.cumsum(own).tolist() for own in parts]
+        self.start = np.cumsum([0, *[own[-1] for own in self.upto[:-1]]]).tolist()
+        self.past = np.cumsum([[0] * len(totals), *self.upto[:-1]], axis=0, dtype=np.int64)
 
     def given(self, s: int, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens of sources before s, tokens of sources up to s) after so many windows."""
-        upto = np.minimum(windows.astype(self.kind) * self.window, self.all)
-        for k in range(len(self.totals) - 2, s - 1, -1):
-            upto = upto * self.upto[k] // self.upto[k + 1]
-        before = upto * self.upto[s - 1] // self.upto[s] if s else upto * 0
+        """(tokens of sources before s, tokens of sources up to s) after so many windows, which ascend."""
+        tokens = np.minimum(windows * self.window, self.all)
+        first, last = (bisect_right(self.start, int(t)) - 1 for t in (tokens[0], tokens[-1]))
+        before = np.full(len(tokens), self.past[first][s - 1] if s else 0)
+        upto = np.full(len(tokens), self.past[first][s])
+        for phase in range(first, last + 1):
+            sums = self.upto[phase]
+            own = np.clip(tokens - self.start[phase], 0, sums[-1])
+            for k in range(len(sums) - 2, s - 1, -1):
+                own = part_of(own, sums[k], max(1, sums[k + 1]))
+            upto += own
+            if s:
+                before += part_of(own, sums[s - 1], max(1, sums[s]))
         return before, upto
 
     def served(self, s: int, window: int) -> int:
@@ -90,13 +128,13 @@ class Shares:
         for at in range(first, last + 1, 1 << 16):
             windows = np.arange(at, min(at + (1 << 16), last + 1) + 1)
             before, upto = self.given(s, windows)
-            place = (upto - before).astype(np.int64)
+            place = upto - before
             takes = np.diff(place) > 0
-            found.append((windows[:-1][takes], place[:-1][takes], np.diff(before)[takes].astype(np.int64)))
+            found.append((windows[:-1][takes], place[:-1][takes], np.diff(before)[takes]))
         return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def pieces(store: DataFrame, window: int = WINDOW) -> DataFrame:
+def pieces(store: DataFrame, window: int = WINDOW, targets: dict[str | None, float] | None = None) -> DataFrame:
     """(doc_id, start, length, ids binary, doc_tokens, sequence_id, offset) from a written table of ``tokenised``; runs a job.
 
     ids: 32 bits each, little-endian. Totals of the sources come to the driver: a mixture's
@@ -106,7 +144,8 @@ def pieces(store: DataFrame, window: int = WINDOW) -> DataFrame:
     ahead = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     totals = own.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.asc_nulls_last("source")).collect()
     numbers = {row["source"]: i for i, row in enumerate(totals)}
-    shares = Shares([row["n"] for row in totals], window)
+    weights = None if targets is None else [targets.get(row["source"], 0) for row in totals]
+    shares = Shares([row["n"] for row in totals], window, weights)
     base = written(own.select("source", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base")), "bases")
     kind = store.schema["doc_id"].dataType.simpleString()
     match = store["part"].eqNullSafe(base["part"]) & store["source"].eqNullSafe(base["source"])
@@ -141,14 +180,22 @@ def pieces(store: DataFrame, window: int = WINDOW) -> DataFrame:
     return placed.mapInArrow(run, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, path: str, ranks: str | None = None, window: int = WINDOW, end: int = END) -> DataFrame:
+def pack(
+    docs: DataFrame, path: str, ranks: str | None = None, window: int = WINDOW, end: int = END, targets: dict[str | None, float] | None = None
+) -> DataFrame:
     """All documents with an id, cut into pieces of windows; runs jobs. Columns as ``pieces``.
 
+    targets: the share of each source (as text; None for a null source), in any unit. Every
+    window but the last is full and holds each source in its share, to within some tokens,
+    until a queue ends; the others then share by their targets. Sources without a target, or
+    with 0, come after all that have one, in their shares of what is left; so without
+    ``targets`` every source has its share of all tokens from the first window to the last.
     A null or empty text is its end id alone; a null source is a source; repeated rows are
-    packed one by one. Every window but the last is full, and a window holds each source in
-    its share of all tokens, to within some tokens, as long as the sources are.
+    packed one by one; an empty table has no pieces.
     """
-    return pieces(written(tokenised(docs, path, ranks, end), "tokens"), window)
+    if targets and not all(0 <= w < float("inf") for w in targets.values()):
+        raise ValueError("targets are finite and not below 0")
+    return pieces(written(tokenised(docs, path, ranks, end), "tokens"), window, targets)
 
 
 def digest(packed: DataFrame) -> DataFrame:
