@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 from tilth.llm.common import pick, written
 
-#: Pieces of more bytes are left out of the vocabulary, so that a piece fits a 64-bit key.
-LONGEST = 8
+#: Pieces of up to so many bytes are found by a 64-bit key, longer ones by a hash and their bytes.
+SHORT = 8
+#: Odd factor of the hash of longer pieces: 2^64 over the golden ratio.
+FACTOR = 0x9E3779B97F4A7C15
 ROUNDS, PRIOR = 4, 0.05
 #: Documents learned from in each language: their expected number, drawn by a hash of the id.
 SAMPLE = 1500
@@ -36,27 +38,47 @@ def vocabulary(path: str) -> list[bytes]:
     """Pieces of a rank file: a base64 piece and its rank on each line. All single bytes are added."""
     with open(path, "rb") as lines:
         pieces = {base64.b64decode(line.split()[0]) for line in lines if line.strip()}
-    pieces |= {bytes([b]) for b in range(256)}
-    return sorted(p for p in pieces if len(p) <= LONGEST)
+    return sorted(pieces | {bytes([b]) for b in range(256)})
 
 
 class Pieces:
-    """Piece numbers of substrings, by length: sorted keys and the numbers that go with them."""
+    """Piece numbers of substrings: by length, sorted keys and the numbers that go with them."""
 
     def __init__(self, pieces: list[bytes]):
         self.size = len(pieces)
-        self.tables = []
-        for length in range(1, LONGEST + 1):
-            own = [(int.from_bytes(p, "big"), i) for i, p in enumerate(pieces) if len(p) == length]
-            own.sort()
-            self.tables.append((np.array([k for k, _ in own], np.uint64), np.array([i for _, i in own], np.int32)))
+        self.longest = max(map(len, pieces))
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        self.short, self.long = [], []
+        for length in range(1, max(SHORT, self.longest) + 1):
+            numbers = np.flatnonzero(lengths == length).astype(np.int32)
+            spelled = np.frombuffer(b"".join(pieces[i] for i in numbers), np.uint8).reshape(len(numbers), length)
+            if length <= SHORT:
+                keys = np.zeros(len(numbers), np.uint64)
+                for at in range(length):
+                    keys = keys << np.uint64(8) | spelled[:, at]
+                order = np.argsort(keys)
+                self.short.append((keys[order], numbers[order]))
+            elif len(numbers):
+                keys = self._hashes(spelled)[:, -1]
+                order = np.argsort(keys, kind="stable")
+                marks = np.zeros(1 << 16, bool)
+                marks[keys >> np.uint64(48)] = True
+                self.long.append((length, keys[order], numbers[order], spelled[order], marks, np.uint64(pow(FACTOR, length, 1 << 64))))
+
+    @staticmethod
+    def _hashes(words: np.ndarray) -> np.ndarray:
+        """Hash of every prefix of words of one length, the empty one first."""
+        out = np.zeros((len(words), words.shape[1] + 1), np.uint64)
+        for at in range(words.shape[1]):
+            out[:, at + 1] = out[:, at] * np.uint64(FACTOR) + words[:, at] + np.uint64(1)
+        return out
 
     def ending_at(self, words: np.ndarray, at: int) -> list[np.ndarray]:
         """For lengths 1 to 8, the number of the piece ending before position ``at`` of each word; ``size`` if none."""
         found, key = [], np.zeros(len(words), np.uint64)
-        for length in range(1, min(LONGEST, at) + 1):
+        for length in range(1, min(SHORT, at) + 1):
             key = key | (words[:, at - length].astype(np.uint64) << np.uint64(8 * (length - 1)))
-            keys, numbers = self.tables[length - 1]
+            keys, numbers = self.short[length - 1]
             if not len(keys):
                 found.append(np.full(len(words), self.size, np.int32))
                 continue
@@ -64,9 +86,36 @@ class Pieces:
             found.append(np.where(keys[place] == key, numbers[place], self.size).astype(np.int32))
         return found
 
+    def longer(self, words: np.ndarray) -> dict[int, list[tuple[int, np.ndarray, np.ndarray]]]:
+        """By position: (length, rows, numbers) of the longer pieces that end before it, their bytes compared."""
+        found: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
+        if words.shape[1] <= SHORT:
+            return found
+        prefix = self._hashes(words)
+        for length, keys, numbers, spelled, marks, power in self.long:
+            if length > words.shape[1]:
+                break
+            key = prefix[:, length:] - prefix[:, :-length] * power
+            rows, starts = np.nonzero(marks[key >> np.uint64(48)])
+            key = key[rows, starts]
+            # pieces of one hash stand together; most often there is one
+            first, after = np.searchsorted(keys, key), np.searchsorted(keys, key, side="right")
+            for step in range(int((after - first).max(initial=0))):
+                near = np.flatnonzero(first + step < after)
+                place = first[near] + step
+                own = words[rows[near, None], starts[near, None] + np.arange(length)]
+                same = (own == spelled[place]).all(axis=1)
+                hit, place = near[same], place[same]
+                order = np.argsort(starts[hit], kind="stable")
+                hit, place = hit[order], place[order]
+                ends, cuts = np.unique(starts[hit] + length, return_index=True)
+                for end, rows_here, pieces_here in zip(ends.tolist(), np.split(rows[hit], cuts[1:]), np.split(numbers[place], cuts[1:])):
+                    found.setdefault(end, []).append((length, rows_here, pieces_here))
+        return found
+
 
-def by_length(words: list[bytes], most: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(positions, matrix of bytes) of words of equal length, in chunks."""
+def by_length(words: list[bytes], most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(positions, matrix of bytes) of words of equal length, in chunks of at most that many bytes or one word."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     order = np.argsort(lengths, kind="stable")
     cuts = np.flatnonzero(np.diff(lengths[order])) + 1
@@ -74,8 +123,9 @@ def by_length(words: list[bytes], most: int = 1 << 14) -> Iterator[tuple[np.ndar
         if not len(same):
             continue
         n = int(lengths[same[0]])
-        for i in range(0, len(same), most):
-            part = same[i : i + most]
+        rows = max(1, min(1 << 14, most // max(1, n)))
+        for i in range(0, len(same), rows):
+            part = same[i : i + rows]
             yield part, np.frombuffer(b"".join(words[j] for j in part), np.uint8).reshape(len(part), n)
 
 
@@ -85,38 +135,61 @@ def word_logs(words: list[bytes], pieces: Pieces, probs: np.ndarray) -> np.ndarr
     for part, matrix in by_length(words):
         past = [np.ones((len(part), probs.shape[1]))]  # forward sums of the last positions, newest first
         scale = np.zeros((len(part), probs.shape[1]))
+        longer = pieces.longer(matrix)
+        logs = {0: scale} if longer else {}
         for at in range(1, matrix.shape[1] + 1):
             now = 0.0
             for numbers, before in zip(pieces.ending_at(matrix, at), past):
                 now = now + before * probs[numbers]
-            past = [now, *past[: LONGEST - 1]]
+            for length, rows, numbers in longer.get(at, ()):
+                gap = logs[at - length][rows] - scale[rows]
+                over = np.maximum(gap - 300, 0)  # what a double can't hold is moved to the scale
+                if over.any():
+                    scale = scale.copy()
+                    scale[rows] += over
+                    for p in (now, *past):
+                        p[rows] *= np.exp(-over)
+                now[rows] += np.exp(gap - over) * probs[numbers]
+            past = [now, *past[: SHORT - 1]]
             if at % 6 == 0:
-                scale += np.log(now)
+                scale = scale + np.log(now)
                 past = [p / now for p in past]
+            if longer:
+                logs[at] = scale + np.log(past[0])
+                logs.pop(at - pieces.longest, None)
         out[part] = scale + np.log(past[0])
     return out
 
 
 def learn_pieces(words: list[bytes], counts: np.ndarray, pieces: Pieces, rounds: int = ROUNDS, prior: float = PRIOR) -> np.ndarray:
-    """Piece probabilities of one language by expectation-maximisation on its word counts."""
+    """Piece probabilities of one language by expectation-maximisation on its word counts; words of any length."""
     probs = np.full(pieces.size + 1, 1 / pieces.size)
     probs[-1] = 0
-    chunks = [(part, [pieces.ending_at(m, at) for at in range(1, m.shape[1] + 1)]) for part, m in by_length([w for w in words if len(w) <= 48])]
+    chunks = []
+    for part, m in by_length(words):
+        every = np.arange(len(part))
+        longer = pieces.longer(m)
+        # (length, rows, numbers) of the pieces ending before each position
+        chunks.append((part, [[*((i + 1, every, k) for i, k in enumerate(pieces.ending_at(m, at))), *longer.get(at, ())] for at in range(1, m.shape[1] + 1)]))
     for _ in range(rounds):
         expected = np.zeros(pieces.size + 1)
+        with np.errstate(divide="ignore"):
+            logs = np.log(probs)
         for part, found in chunks:
-            n = len(found)
-            p = [[probs[k] * 16.0 ** (i + 1) for i, k in enumerate(row)] for row in found]  # keeps the sums in range
-            forward = [np.ones(len(part))]
+            n, none = len(found), -np.inf
+            forward = np.full((n + 1, len(part)), none)
+            back = np.full((n + 1, len(part)), none)
+            forward[0] = back[n] = 0
             for at in range(1, n + 1):
-                forward.append(sum(forward[at - 1 - i] * q for i, q in enumerate(p[at - 1])))
-            back = [None] * n + [np.ones(len(part))]
-            for at in range(n - 1, -1, -1):
-                back[at] = sum(back[at + i] * p[at + i - 1][i - 1] for i in range(1, min(LONGEST, n - at) + 1))
-            weight = counts[part] / forward[n]
+                for length, rows, numbers in found[at - 1]:
+                    forward[at, rows] = np.logaddexp(forward[at, rows], forward[at - length, rows] + logs[numbers])
+            for at in range(n, 0, -1):
+                for length, rows, numbers in found[at - 1]:
+                    back[at - length, rows] = np.logaddexp(back[at - length, rows], back[at, rows] + logs[numbers])
             for at in range(1, n + 1):
-                for i, k in enumerate(found[at - 1]):
-                    expected += np.bincount(k, forward[at - 1 - i] * p[at - 1][i] * back[at] * weight, len(expected))
+                for length, rows, numbers in found[at - 1]:
+                    share = np.exp(forward[at - length, rows] + logs[numbers] + back[at, rows] - forward[n, rows])
+                    expected += np.bincount(numbers, share * counts[part[rows]], len(expected))
         expected[-1] = 0
         expected[:-1] += prior
         probs = expected / expected.sum()
@@ -202,15 +275,8 @@ class Scorer:
         return logs, np.array([bool(self.letters[p].any()) for p in places], bool)
 
 
-def predict(docs: DataFrame, models: dict[str, np.ndarray], path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score) of every document with an id.
-
-    score: the posterior of the language predicted, all being as likely before; ties go to
-    the first by name. A text that is null or has no letter is ``und`` with score 0, and so is
-    every text if no language was learned.
-    """
-    source = pick(docs, doc_id=id_col, text=text_col)
-    kind = source.schema["doc_id"].dataType.simpleString()
+def _told(source: DataFrame, models: dict[str, np.ndarray], path: str, text_col: str, lang_col: str, score_col: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of each row with its language and the posterior of it."""
     names = [*models, "und"]
     probs = np.stack(list(models.values()), axis=1).astype(np.float64) if models else None
     pieces = Pieces(vocabulary(path))
@@ -222,16 +288,36 @@ def predict(docs: DataFrame, models: dict[str, np.ndarray], path: str, id_col: s
                 rows = part.slice(at, 256)
                 best, score = np.full(rows.num_rows, len(names) - 1), np.zeros(rows.num_rows)
                 if scorer:
-                    logs, letters = scorer.texts(pc.fill_null(rows.column(1), "").to_pylist())
+                    logs, letters = scorer.texts(pc.fill_null(rows.column(text_col), "").to_pylist())
                     first = logs.argmax(axis=1)
                     best = np.where(letters, first, best)
                     score = np.where(letters, 1 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1), 0.0)
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([names[b] for b in best], pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
+                own = [rows.column(c) for c in keep]
+                yield pa.RecordBatch.from_arrays([*own, pa.array([names[b] for b in best], pa.string()), pa.array(score)], names=[*keep, lang_col, score_col])
+
+    kept = source.select(*keep).schema
+    return source.mapInArrow(run, kept.add(lang_col, "string").add(score_col, "double"))
 
-    return source.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
+def predict(docs: DataFrame, models: dict[str, np.ndarray], path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, lang_pred, score) of every document with an id.
 
-def accepted(docs: DataFrame, models: dict[str, np.ndarray], path: str, least: float = 0.5) -> DataFrame:
-    """The documents, all columns, whose language is recognised with a posterior of ``least``; ids are taken to be unique."""
-    told = predict(docs, models, path).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(F.col("doc_id").alias("__kept"))
-    return docs.join(told, docs["doc_id"] == told["__kept"], "left_semi")
+    score: the posterior of the language predicted, all being as likely before; ties go to
+    the first by name. A text that is null or has no letter is ``und`` with score 0, and so is
+    every text if no language was learned. Repeated rows are told one by one, and an empty
+    table has no rows.
+    """
+    return _told(pick(docs, doc_id=id_col, text=text_col), models, path, "text", "lang_pred", "score", ["doc_id"])
+
+
+def accepted(docs: DataFrame, models: dict[str, np.ndarray], path: str, least: float = 0.5, only: tuple[str, ...] | None = None) -> DataFrame:
+    """The documents, all columns, whose language is recognised with a posterior of ``least``.
+
+    ``only`` names the languages wanted, all by default. Where ``lang`` is null it becomes
+    the language recognised. Rows without an id or a letter go; each row is judged on its
+    own, so repeated rows stay or go together, and equal scores change nothing. No join.
+    """
+    told = _told(docs.where(docs["doc_id"].isNotNull()), models, path, "text", "__lang", "__score", docs.columns)
+    wanted = F.col("__lang").isin(*only) if only is not None else F.col("__lang") != "und"
+    kept = told.where(wanted & (F.col("__score") >= least))
+    return kept.select(*[F.coalesce(c, "__lang").alias(c) if c == "lang" else F.col(c) for c in docs.columns])
