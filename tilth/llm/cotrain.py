@@ -104,8 +104,8 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 class Judge:
     """Both views' regressions, their calibrations, and the last one over both."""
 
-    def __init__(self, views: tuple[np.ndarray, np.ndarray], y: np.ndarray, apart: np.ndarray, others: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS, told: tuple = ()):
-        """told: for each view (rows, labels) that the other one has named already."""
+    def __init__(self, views: tuple[np.ndarray, np.ndarray], y: np.ndarray, apart: np.ndarray, told: tuple = ()):
+        """apart: labelled rows kept for calibration; told: for each view the (rows, labels) that the other one has named."""
         self.prior = float(y.mean()) if len(y) else None
         self.models = None
         self.named = [0, 0]
@@ -118,34 +118,14 @@ class Judge:
             sets[k].append(rows)
             labels[k].append(said)
             self.named[1 - k] = len(said)
-        free = [np.ones(len(others[0]), bool), np.ones(len(others[0]), bool)]
-        for _ in range(rounds):
-            self._fit(sets, labels, views, y, apart)
-            for k in (0, 1):
-                sure = self.view(k, others[k])
-                pupil = 1 - k
-                for good, share in ((1.0, self.prior), (0.0, 1 - self.prior)):
-                    confident = np.flatnonzero(((sure >= SURE) if good else (sure <= 1 - SURE)) & free[pupil])
-                    most = max(1, int(NAMED * share * len(sure))) if len(sure) else 0
-                    taken = confident[np.argsort(-np.abs(sure[confident] - 0.5), kind="stable")[:most]]
-                    free[pupil][taken] = False
-                    self.named[k] += len(taken)
-                    sets[pupil].append(others[pupil][taken])
-                    labels[pupil].append(np.full(len(taken), good))
-        self._fit(sets, labels, views, y, apart)
-        both = np.stack([self._calibrated(k, views[k][apart]) for k in (0, 1)], axis=1)
-        self.last = Logistic(both, y[apart])
-
-    def _fit(self, sets: list, labels: list, views: tuple, y: np.ndarray, apart: np.ndarray) -> None:
         self.models = [Logistic(np.concatenate(s), np.concatenate(t)) for s, t in zip(sets, labels)]
         self.scales = [Logistic(m.logit(v[apart])[:, None], y[apart]) for m, v in zip(self.models, views)]
+        both = np.stack([self._calibrated(k, views[k][apart]) for k in (0, 1)], axis=1)
+        self.last = Logistic(both, y[apart])
 
     def _calibrated(self, k: int, x: np.ndarray) -> np.ndarray:
         return self.scales[k].logit(self.models[k].logit(x)[:, None])
 
-    def view(self, k: int, x: np.ndarray) -> np.ndarray:
-        return sigmoid(self._calibrated(k, x))
-
     def score(self, x: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         """(text, metadata, both) of each row, 0 bad to 1 good."""
         if self.models is None:
@@ -187,10 +167,10 @@ def _fit(lessons: DataFrame) -> Judge:
         has = pupil < 0
         apart = np.arange(int(has.sum())) % round(1 / APART) == 0
         told = tuple((v[pupil == k], y[pupil == k]) for k, v in enumerate(views))
-        return pd.DataFrame({"model": [pickle.dumps(Judge((views[0][has], views[1][has]), y[has], apart, none, 0, told))]})
+        return pd.DataFrame({"model": [pickle.dumps(Judge((views[0][has], views[1][has]), y[has], apart, told))]})
 
     found = lessons.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(fit, "model binary").collect()
-    return pickle.loads(found[0]["model"]) if found else Judge(none, np.zeros(0), np.zeros(0, bool), none)
+    return pickle.loads(found[0]["model"]) if found else Judge(none, np.zeros(0), np.zeros(0, bool))
 
 
 def _named(docs: DataFrame, labels: DataFrame, judge: Judge, m: int, taken: tuple[set, set], added: int, number: int) -> DataFrame:
@@ -234,16 +214,17 @@ def _named(docs: DataFrame, labels: DataFrame, judge: Judge, m: int, taken: tupl
 def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, added: int = ADDED) -> Judge:
     """Learns in one task from a bounded sample of the labelled rows and from rows named among all others, which Spark scores in every round; runs jobs.
 
-    docs: as ``quality`` selects them. Equal rows of one document are named once.
+    docs: as ``quality`` selects them. Equal rows of one document are named once; of the
+    rows of a labelled id one is learned from, the one with the smallest hash.
     """
     columns = ("doc_id", "text", "source", "lang", "n_chars")
     docs = docs.select(*columns, F.xxhash64(*columns, *(F.col(c).isNull() for c in columns)).alias("mark"))
     labels = written(labels.select("doc_id", "quality"), "labels")
-    known = docs.select("doc_id").distinct().join(labels, "doc_id")
+    known = docs.groupBy("doc_id").agg(F.min("mark").alias("mark")).join(labels, "doc_id")
     n = known.count()
     m = docs.select("doc_id").join(labels, "doc_id", "left_anti").count()
-    drawn = written(known.where(_draw(3) * n < labelled).select("doc_id", "quality", F.lit(-1).alias("pupil")), "sample")
-    lessons = written(_features(docs.join(drawn, "doc_id")), "lessons")
+    drawn = written(known.where(_draw(3) * n < labelled).select("doc_id", "mark", "quality", F.lit(-1).alias("pupil")), "sample")
+    lessons = written(_features(docs.join(drawn, ["doc_id", "mark"])).dropDuplicates(["doc_id", "mark"]), "lessons")
     judge = _fit(lessons)
     taken: tuple[set, set] = set(), set()
     for number in range(ROUNDS if judge.models is not None and m else 0):
@@ -262,7 +243,9 @@ def quality(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame
     docs: doc_id, text, source, lang, n_chars; labels: doc_id, quality (0 or 1). Labels without
     id or quality are passed over; of several for one document the majority counts, a tie as
     good. With fewer than five examples of a class every score is the share of good labels, or
-    a half without labels. Null texts are empty, nulls in metadata a value of their own.
+    a half without labels. Null texts are empty, nulls in metadata a value of their own; texts
+    of any length are read whole. Repeated rows are scored one by one and learned from once;
+    of equally sure documents the one with the smaller hash is named.
     """
     source = pick(docs, doc_id="doc_id", text="text", source="source", lang="lang", n_chars="n_chars")
     source = source.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), F.col("n_chars").cast("double").alias("n_chars"))
