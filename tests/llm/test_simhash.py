@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 import xxhash
 
-from tilth.llm.simhash import fingerprint, one_of_each, simhash_classes, trie_components
+from tilth.llm.simhash import fingerprint, near_links, one_of_each, simhash_classes, trie_components
 
 AZ = {i: i + 32 for i in range(65, 91)}
 
@@ -90,3 +90,26 @@ def test_empty_null_ids_and_repeats(spark):
     assert sorted(map(tuple, simhash_classes(docs).select("doc_id", "component_id").collect())) == [(1, 1), (1, 1), (2, 1)]
     assert [r.doc_id for r in one_of_each(docs).collect()] == [1, 1]
     assert simhash_classes(docs.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("full, cell", [(250, 60), (1 << 18, 30)])
+def test_full_cells_are_dealt_to_deeper_ones(spark, full, cell):
+    rng = np.random.default_rng(5)
+    keys = {int(k) for k in rng.integers(0, 1 << 63, 200, dtype=np.uint64)}
+    # families that agree in whole segments: in the first and second, in the last, in all but the last bits
+    for fixed, n in (((1 << 22) - 1, 300), (((1 << 42) - 1) << 22, 150), ((1 << 8) - 1, 120)):
+        base = int(rng.integers(0, 1 << 63))
+        for _ in range(n):
+            keys.add(base ^ sum({1 << int(b) for b in rng.choice(64, 9)} & {1 << b for b in range(64) if fixed >> b & 1}))
+    keys = sorted(keys)
+    fps = spark.createDataFrame([(k - (1 << 64) if k >> 63 else k, i) for i, k in enumerate(keys)], "fp long, rep long")
+    parent = list(range(len(keys)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for u, v in near_links(fps, full=full, cell=cell).collect():
+        parent[max(root(u), root(v))] = min(root(u), root(v))
+    assert [root(i) for i in range(len(keys))] == plain_components(list(range(len(keys))), keys)

@@ -3,9 +3,10 @@
 Fingerprints are cut into three segments of bits. Two that differ in at most four bits
 differ in at most one bit of some segment, so the trie is walked once for each segment
 put first, with a budget of one bit inside it and four in all. The upper levels of the
-trie are cells of the join: a cell pairs two nodes whose prefixes differ in no or one
-bit. Inside a cell node pairs are expanded together, level by level, and dropped once
-the budget is exceeded or both nodes already are of one component.
+trie are cells of the join: a cell is a pair of nodes whose prefixes differ within the
+budget. Cells that hold too many fingerprints are dealt to pairs of deeper nodes. Inside a
+cell node pairs are expanded together, level by level, and dropped once the budget is
+exceeded or both nodes already are of one component.
 """
 
 from __future__ import annotations
@@ -25,9 +26,13 @@ from tilth.llm.components import components
 SHINGLE, SEED, BITS = 4, 42, 4
 #: Left turns that bring each segment to the top, and the segments' lengths.
 TURNS, SEGMENTS = (0, 21, 42), (21, 21, 22)
-CELL = 4096
-MOST_DEPTH = 20
+#: Fingerprints of a cell on average, at most (fuller ones are dealt on by STEP bits), and depths of the first cells and of the last.
+CELL, FULL, STEP = 4096, 1 << 18, 4
+FIRST_DEPTH, LAST_DEPTH = 20, 60
+#: Bits from the top in which one may differ, whatever the segment.
+STRICT = min(SEGMENTS)
 FRONTIER = 1 << 17
+CELLS = "r int, a long, b long, key long, rep long"
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -62,8 +67,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return source.mapInArrow(run, f"doc_id {kind}, fp long")
 
 
+def _batch(r: np.ndarray, a: np.ndarray, b: np.ndarray, key: np.ndarray, rep: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(r, pa.int32()), pa.array(a), pa.array(b), pa.array(key.view(np.int64)), pa.array(rep)], names=["r", "a", "b", "key", "rep"])
+
+
 def _cells(depth: int):
-    """Sends each fingerprint to the cells of its own node and of the nodes one bit away, for each segment put first."""
+    """Sends each fingerprint to the cells (a, b) of its own node and of the nodes one bit away, for each segment put first."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -72,10 +81,31 @@ def _cells(depth: int):
             for r, turn in enumerate(TURNS):
                 key = fp if not turn else (fp << np.uint64(turn)) | (fp >> np.uint64(64 - turn))
                 node = (key >> np.uint64(64 - depth)).astype(np.int64) if depth else np.zeros(len(key), np.int64)
-                for j in range(depth + 1):
-                    low = node & ~(1 << (j - 1)) if j else node
-                    cell = ((r * 64 + j) << 32) | low
-                    yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(key.view(np.int64)), pa.array(rep)], names=["cell", "key", "rep"])
+                for bit in [0, *(1 << j for j in range(depth))]:
+                    yield _batch(np.full(len(key), r), node & ~bit, node | bit, key, rep)
+
+    return run
+
+
+def _deeper(old: int, new: int, bits: int):
+    """Deals the rows of cells at one depth to pairs of deeper nodes that differ within the budget."""
+    step = new - old
+    budget = 1 if new <= STRICT else bits
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            r, a, b, key, rep = (part.column(i).to_numpy() for i in range(5))
+            key = key.view(np.uint64)
+            left = budget - np.bitwise_count(a ^ b).astype(np.int64)
+            second = (a != b) & ((key >> np.uint64(64 - old)).astype(np.int64) == b)
+            own = (key >> np.uint64(64 - new)).astype(np.int64) & ((1 << step) - 1)
+            for mask in range(1 << step):
+                fits = mask.bit_count() <= left
+                x, y = own[fits], own[fits] ^ mask
+                # of one node's children the smaller comes first; of two nodes each keeps its place
+                turned = np.where((a == b)[fits], x > y, second[fits])
+                low, high = (a[fits] << step) | np.where(turned, y, x), (b[fits] << step) | np.where(turned, x, y)
+                yield _batch(r[fits], low, high, key[fits], rep[fits])
 
     return run
 
@@ -97,11 +127,11 @@ def union(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return labels
 
 
-def trie_components(keys: np.ndarray, split: int, depth: int, segment: int, bits: int = BITS) -> np.ndarray:
+def trie_components(keys: np.ndarray, split: int, depth: int, segment: int, bits: int = BITS, diff: int = 1) -> np.ndarray:
     """Component label of each key, over links of at most ``bits`` differing bits inside one cell.
 
     keys: distinct, sorted from 0 to ``split`` and from there on. With split 0 they are one node
-    of ``depth`` equal bits; else two nodes whose prefixes differ in one bit, and only pairs
+    of ``depth`` equal bits; else two nodes whose prefixes differ in ``diff`` bits, and only pairs
     across them are compared. ``segment``: bits from the top in which one may differ.
     """
     n = len(keys)
@@ -116,7 +146,7 @@ def trie_components(keys: np.ndarray, split: int, depth: int, segment: int, bits
         return ones[level]
 
     if split:
-        start = np.array([[0], [split], [split], [n], [1]], np.int64)
+        start = np.array([[0], [split], [split], [n], [diff]], np.int64)
     else:
         start = np.array([[0], [n], [0], [n], [0]], np.int64)
     stack = [(depth, start)]
@@ -156,38 +186,55 @@ def trie_components(keys: np.ndarray, split: int, depth: int, segment: int, bits
 
 def _join_cell(depth: int, bits: int):
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        code = key[0].as_py()
-        r, j = divmod(code >> 32, 64)
+        r, a, b = (k.as_py() for k in key)
         keys = group.column("key").to_numpy().view(np.uint64)
         reps = group.column("rep").to_numpy()
-        if j:
-            side = (keys >> np.uint64(64 - depth + j - 1)) & np.uint64(1)
+        if a != b:
+            side = (keys >> np.uint64(64 - depth)).astype(np.int64) == b
             order = np.lexsort((keys, side))
-            split = int((side == 0).sum())
+            split = int((~side).sum())
         else:
             order, split = np.argsort(keys), 0
         keys, reps = keys[order], reps[order]
-        if len(keys) < 2 or (j and split in (0, len(keys))):
+        if len(keys) < 2 or (a != b and split in (0, len(keys))):
             return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
-        labels = trie_components(keys, split, depth, SEGMENTS[r], bits)
+        labels = trie_components(keys, split, depth, SEGMENTS[r], bits, (a ^ b).bit_count())
         moved = np.flatnonzero(labels != np.arange(len(labels)))
         return pa.table({"u": reps[moved], "v": reps[labels[moved]]})
 
     return run
 
 
-def near_links(fps: DataFrame, bits: int = BITS) -> DataFrame:
-    """(fp, rep), distinct fp, to links (u, v) between reps that join every two within ``bits`` bits, directly or by others; counts rows first.
+def near_links(fps: DataFrame, bits: int = BITS, full: int = FULL, cell: int = CELL) -> DataFrame:
+    """(fp, rep), distinct fp, to links (u, v) between reps that join every two within ``bits`` bits, directly or by others; runs jobs.
 
-    The depth of the cells follows the number of fingerprints, so a cell holds some
-    thousands, and a fingerprint goes to three cells and three more for each level.
+    The depth of the first cells follows the number of fingerprints, so a cell holds some
+    thousands (``cell``) on average, and a fingerprint goes to three cells and three more for
+    each level. Cells of more than ``full`` fingerprints, such as a large family's that agree in
+    a segment, are dealt to pairs of nodes some bits deeper until none is left.
     """
     if bits != BITS:
         raise ValueError("the three segments are laid out for four bits")
     n = fps.count()
-    depth = min(MOST_DEPTH, max(0, math.ceil(math.log2(max(1, n) / CELL))))
-    cells = fps.mapInArrow(_cells(depth), "cell long, key long, rep long")
-    return cells.groupBy("cell").applyInArrow(_join_cell(depth, bits), "u long, v long")
+    depth = min(FIRST_DEPTH, max(0, math.ceil(math.log2(max(1, n) / cell))))
+    rows, links = fps.mapInArrow(_cells(depth), CELLS), None
+    while True:
+        large = None
+        # a cell holds a fingerprint once, so few fingerprints fill none
+        if n > full and depth < LAST_DEPTH:
+            second = F.count_if((F.col("a") != F.col("b")) & (F.shiftrightunsigned("key", 64 - depth) == F.col("b"))) if depth else F.lit(0)
+            sizes = rows.groupBy("r", "a", "b").agg(F.count("*").alias("n"), second.alias("n2")).where(F.col("n") > full)
+            # two nodes of which one is empty have no pairs
+            large = written(sizes.withColumn("pairs", (F.col("a") == F.col("b")) | ((F.col("n2") > 0) & (F.col("n2") < F.col("n")))), "large")
+            large = None if large.isEmpty() else large
+        small = rows if large is None else rows.join(large, ["r", "a", "b"], "left_anti")
+        found = small.groupBy("r", "a", "b").applyInArrow(_join_cell(depth, bits), "u long, v long")
+        links = found if links is None else links.unionByName(found)
+        if large is None:
+            return links
+        deeper = min(depth + STEP, STRICT if depth < STRICT else LAST_DEPTH)
+        rows = written(rows.join(large.where("pairs"), ["r", "a", "b"], "left_semi").select("r", "a", "b", "key", "rep").mapInArrow(_deeper(depth, deeper, bits), CELLS), "cells")
+        depth = deeper
 
 
 def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
