@@ -3,7 +3,7 @@ import re
 import numpy as np
 import pandas as pd
 
-from tilth.llm.line_rules import clean_lines, furniture_fails, judge, line_first, navigation_fails, punctuation_fails
+from tilth.llm.line_rules import clean_lines, furniture_fails, furniture_lines, judge, line_first, line_key, navigation_fails, punctuation_fails
 
 SENTENCE = "A line of plain words that goes on for a while and ends well, as it should."
 
@@ -62,3 +62,43 @@ def test_texts_that_lose_too_much_go():
 def test_empty_table_and_null_ids(spark):
     docs = spark.createDataFrame([(None, SENTENCE)], "doc_id long, text string")
     assert line_first(docs).count() == 0
+
+
+def plain_furniture(texts, share, least, contexts):
+    shape = lambda x: " ".join(re.sub("[A-Z]", lambda m: m[0].lower(), x).split())
+    rows = [[shape(x) for x in (t or "").split("\n") if x.split()] for t in texts]
+    out = {}
+    for line in {x for r in rows for x in r if len(x.split()) <= 40}:
+        at = [(r, r.index(line)) for r in rows if line in r]
+        before = {r[i - 1] if i else None for r, i in at}
+        after = {r[i + 1] if i + 1 < len(r) else None for r, i in at}
+        around = max(len(before), len(after))
+        if len(at) >= max(least, share * len(rows)) and around >= contexts * len(at):
+            out[line_key(line.encode())] = (len(at), around)
+    return out
+
+
+def test_furniture_is_learned_from_all_documents(spark):
+    rng = np.random.default_rng(3)
+    make = lambda n: " ".join("".join(rng.choice(list("abcdef"), 4)) for _ in range(n)) + "."
+    footer, family, long = "Alle Rechte  VORBEHALTEN, seit 1999.", [make(12) for _ in range(6)], make(60)
+    texts = ["\n".join([make(30), make(30), footer if i % 2 else footer.lower(), make(30)]) for i in range(30)]
+    texts += ["\n".join(family)] * 25 + ["\n".join([make(20), long, make(20)]) for _ in range(25)]
+    texts += ["Nur eine Zeile."] * 25 + [None, "", "\n \n", "x " * 30000, "\n".join([footer] * 3)]
+    docs = spark.createDataFrame(pd.DataFrame({"doc_id": range(len(texts)), "text": texts, "key": 1, "n": "clash"})).repartition(5)
+    found = furniture_lines(docs, least=20)
+    assert {r.key: (r.holders, r.contexts) for r in found.collect()} == plain_furniture(texts, 0.005, 20, 0.5)
+    assert [r.key for r in found.collect()] == [line_key(b"alle rechte vorbehalten, seit 1999.")]
+    got = {r.doc_id: r for r in line_first(docs, furniture=found).collect()}
+    assert len(got) == len(texts)
+    for i in range(30):
+        assert got[i].kept and got[i].cleaned == "\n".join(x for j, x in enumerate(texts[i].split("\n")) if j != 2)
+    assert all(got[i].kept and got[i].cleaned == texts[i] for i in range(30, 80))
+    assert judge("\n".join([make(20), *["menu " * 38 + "end."] * 3]), frozenset([line_key(b"menu " * 38 + b"end.")]))[5:7] == (True, False)
+
+
+def test_furniture_of_few_documents(spark):
+    docs = spark.createDataFrame([(None, SENTENCE), (1, None), (2, SENTENCE), (2, SENTENCE)], "doc_id long, text string")
+    assert furniture_lines(docs).count() == 0
+    assert furniture_lines(docs.where("false")).count() == 0
+    assert [tuple(r) for r in furniture_lines(docs, least=2).collect()] == [(line_key(SENTENCE.encode()), 2, 1)]

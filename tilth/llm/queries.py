@@ -40,7 +40,8 @@ def op5_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_rules.line_first(table(spark, sf_dir, "documents")).drop("cleaned")
+    docs = table(spark, sf_dir, "documents")
+    return line_rules.line_first(docs, furniture=line_rules.furniture_lines(docs)).drop("cleaned")
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
