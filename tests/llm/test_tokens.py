@@ -197,3 +197,23 @@ def test_raw_files(spark, tmp_path):
     (tmp_path / "b.bin").touch()
     blocks = token_files.read_files(spark, str(tmp_path), block=2)
     assert sorted(r.n_tokens for r in token_files.scan(blocks, end=9, width=4).collect()) == [1, 1, 2]
+    assert blocks.select("part").dtypes == [("part", "bigint")]
+
+
+def test_raw_files_are_read_by_ranges(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(6)
+    tokens = rng.integers(0, 40, 5000).astype("<u2")
+    tokens.tofile(tmp_path / "big one.bin")
+    tokens[:7].tofile(tmp_path / "small.bin")
+    (tmp_path / "note.txt").write_text("no tokens")
+    monkeypatch.setattr(token_files, "SPLIT", 1000)
+    blocks = token_files.read_files(spark, str(tmp_path), block=16, ending=".bin")
+    assert blocks.rdd.getNumPartitions() >= 10
+    assert max(len(r.tokens) for r in blocks.collect()) == 64
+    got = {}
+    for r in token_files.scan(blocks, end=9, width=2).orderBy("file", "ordinal").collect():
+        got.setdefault(r.file.rsplit("/", 1)[1], []).append((r.start, r.n_tokens))
+    for name, ids in (("big one.bin", tokens), ("small.bin", tokens[:7])):
+        cuts = np.flatnonzero(ids == 9).tolist()
+        spans = list(zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)]))
+        assert got[name] == [(a, b - a) for i, (a, b) in enumerate(spans) if b > a or i < len(cuts)]

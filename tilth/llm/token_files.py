@@ -16,9 +16,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource
 
 from tilth.llm.common import pick, raw
 from tilth.llm.tokens import encoder
+from tilth.sources.file_ranges import SPLIT, FileReader, Ranges, files_below, open_folder, plan, qualified, reachable
 
 #: No id of the vocabularies here, nor of their added tokens: a text may hold the literal of any of them.
 END = 65535
@@ -69,13 +71,55 @@ def write_tokens(docs: DataFrame, path: str, ranks: str | None = None, end: int
     return source.mapInArrow(run, "file long, part long, tokens binary, doc_ids array<long>")
 
 
-def read_files(spark, path: str, block: int = BLOCK) -> DataFrame:
-    """(file string, part, tokens) of raw flat files below a folder, whatever wrote them; a file is one row of at most 2 GB."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.col("content").alias("tokens"))
+class TokenReader(FileReader):
+    """Blocks of equal size of flat files; a task's ranges begin at block borders."""
+
+    def partitions(self) -> list[Ranges]:
+        return plan(files_below(self.uri, self.ending), self.split) or [Ranges([])]
+
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
+        width = int(self.table)
+        system, _ = open_folder(self.uri)
+        for path, start, end in partition.pieces:
+            with system.open_input_file(path) as file:
+                for at in range(start, end, width):
+                    file.seek(at)
+                    tokens = file.read(min(width, end - at))
+                    columns = [pa.array([path]), pa.array([at // width], pa.int64()), pa.array([tokens], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["file", "part", "tokens"])
+
+
+class TokenFiles(DataSource):
+    """Options: ``path`` (a URI that pyarrow's file systems open), ``table`` (bytes of a block), ``split`` (bytes of a task), ``ending``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "tilth_token_files"
+
+    def schema(self) -> str:
+        return "file string, part long, tokens binary"
+
+    def reader(self, schema) -> TokenReader:
+        return TokenReader(dict(self.options))
+
+
+def read_files(spark, path: str, block: int = BLOCK, ending: str = "") -> DataFrame:
+    """(file string, part, tokens) of raw flat files below a folder, whatever wrote them.
+
+    Files are cut into byte ranges at block borders, so a file of any size is read by many tasks and a
+    task holds one block; a file without bytes gives no row. File systems that Spark knows and pyarrow
+    doesn't are read file by file, where a file is one row of at most 2 GB.
+    """
     width = block * 4
-    parts = F.sequence(F.lit(0), F.greatest(F.ceil(F.length("tokens") / width).cast("int") - 1, F.lit(0)))
-    cut = files.select("file", "tokens", F.explode(parts).alias("part"))
-    return cut.select("file", "part", F.substring("tokens", F.col("part") * width + 1, F.lit(width)).alias("tokens"))
+    uri = qualified(spark, path)
+    if reachable(uri):
+        spark.dataSource.register(TokenFiles)
+        options = {"path": uri, "table": str(width), "split": str(max(1, SPLIT // width) * width), "ending": ending}
+        return spark.read.format(TokenFiles.name()).options(**options).load()
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.col("content").alias("tokens"))
+    files = files.where(F.col("file").endswith(ending) & (F.length("tokens") > 0))
+    cut = files.select("file", "tokens", F.explode(F.sequence(F.lit(0), F.ceil(F.length("tokens") / width).cast("int") - 1)).alias("part"))
+    return cut.select("file", F.col("part").cast("long").alias("part"), F.substring("tokens", F.col("part") * width + 1, F.lit(width)).alias("tokens"))
 
 
 def scan(blocks: DataFrame, end: int = END, width: int = 2) -> DataFrame:
