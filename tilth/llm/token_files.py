@@ -185,7 +185,11 @@ def scan(blocks: DataFrame, end: int = END, width: int = 2) -> DataFrame:
 
 
 def token_counts(store: DataFrame, end: int = END, width: int = 2) -> DataFrame:
-    """(doc_id, file, ordinal, start, n_tokens) over a written store of ``write_tokens``: counts from the scan, names by order."""
+    """(doc_id, file, ordinal, start, n_tokens) over a written store of ``write_tokens``: counts from the scan, names by order.
+
+    Every row written is a document of its own, so a repeated row or id comes back as often as it was
+    written, under its own ordinal. A null or empty text has 0 tokens; an empty store gives no rows.
+    """
     found = scan(store.where("tokens is not null"), end, width)
     lists = store.where("tokens is null").select("file", "part", "doc_ids", F.size("doc_ids").alias("n"))
     ahead = F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
