@@ -1,5 +1,8 @@
 """Stage rules, inversion invariants, bounds algebra and resuming."""
 
+import contextlib
+import io
+import re
 from bisect import bisect_right
 
 import numpy as np
@@ -225,3 +228,39 @@ def test_sorted_soils_find_the_first_of_the_nearest_cells(levels, kind):
 
     for got, want in zip(inv._first_least(vv, path, gain, axes, soil), every_cell(vv, path, gain, axes, soil)):
         np.testing.assert_array_equal(got, want)
+
+
+def largest_methods(df):
+    """Bytes of the largest method of each compiled subtree of a plan; above 8000 the JVM interprets it."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("codegen")
+    return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+
+
+def test_a_pass_is_short_enough_to_be_compiled(spark, tmp_path):
+    b.pheno(spark, SF).write.parquet(f"{tmp_path}/pheno")
+    written = spark.read.parquet(f"{tmp_path}/pheno")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # only a plan that is not adaptive shows its code
+    try:
+        sizes = largest_methods(inv.invert_once(written, b.small(spark, "crop_height"), b.small(spark, "bounds")))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) < 8000
+
+
+def test_passes_read_one_and_the_same_input(spark, tmp_path):
+    changing = b.pheno(spark, SF).limit(300).withColumn("obs_id", F.expr("uuid()"))
+    at = store(spark, f"{tmp_path}/d")
+    second = iterative_refinement(changing, b.small(spark, "crop_height"), b.small(spark, "bounds"), 2, at)
+    first = spark.read.parquet(f"{at.folder}/results/iter=1")
+    assert not second.isEmpty() and not second.join(first, "obs_id").isEmpty()
+
+
+def test_routes_need_both_tables_and_a_crop(spark):
+    rows = spark.createDataFrame([("110",), ("122",), ("133",), (None,)], "lc string")
+    height = spark.createDataFrame([("110",), ("110",), ("122",), (None,)], "lc string")
+    bounds = spark.createDataFrame([("110",), ("133",), (None,)], "lc string")
+    got = {r["lc"]: r["route"] for r in inv.route_bare_or_crop(rows, height, bounds).collect()}
+    assert got == {"110": "crop", "122": "bare", "133": "bare", None: "bare"}
