@@ -1,3 +1,5 @@
+import contextlib
+import io
 import re
 
 import duckdb
@@ -83,3 +85,29 @@ def test_splits_by_category_are_refused(spark, tmp_path):
     spark.createDataFrame([(0, (0, 1.0, 5, 1, 2, (0, [1.0, 2.0], 3)))], data).write.parquet(str(tmp_path / "data"))
     with pytest.raises(Exception, match="split by category"):
         sinks.read_nodes(spark, str(tmp_path)).collect()
+
+
+def spine(depth):
+    """One tree whose inner nodes are 0, 2, 4...; the left child of each is a leaf with its level as value."""
+    inner = [(0, 2 * i, 0, float(i), 2 * i + 1, 2 * i + 2, 0.0) for i in range(depth)]
+    leaves = [(0, 2 * i + 1, None, None, None, None, float(i)) for i in range(depth)]
+    return [*inner, *leaves, (0, 2 * depth, None, None, None, None, float(depth))]
+
+
+def test_deep_walk_is_compiled_in_parts(spark):
+    names = "abcdefgh"
+    schema = "id string, " + ", ".join(f"{c} double" for c in names)
+    rows = spark.createDataFrame([(str(i), *[i - 0.5] * 8) for i in range(18)], schema).repartition(3)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # only a plan that is not adaptive shows its code
+    try:
+        out = forest.walk(rows, spark.createDataFrame(spine(15), NODES), list(names), ["id"])
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            out.explain("codegen")
+        got = dict(map(tuple, out.collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(-?\d+)", text.getvalue())]
+    assert min(sizes) > 0 and max(sizes) < 5000, sizes  # -1: not compiled at all; beyond 8000 the JVM interprets
+    assert got == {str(i): float(min(i, 15)) for i in range(18)}

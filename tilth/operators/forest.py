@@ -17,6 +17,10 @@ from tilth.session import materialize
 NODE_COLUMNS = ("tree", "node", "feature", "threshold", "left", "right", "value")
 #: Nodes of one level that are copied to every task; a level with more is joined by a shuffle.
 BROADCAST_NODES = 1 << 19
+#: Levels walked in one compiled method; with fifteen it nears the 8000 bytes beyond which the JVM interprets.
+LEVELS_PER_METHOD = 4
+#: More than a table's partitions, so that ``coalesce`` leaves them as they are and only parts the compiled code.
+AS_THEY_ARE = 1 << 20
 #: The two branches of a node and the lines that name them, in the order of the text.
 IF, LEFT, ELSE, RIGHT = "0123"
 
@@ -58,7 +62,9 @@ def walk(rows: DataFrame, nodes: DataFrame, features: Sequence[str], ids: Sequen
         return rows.select(*ids, F.lit(0.0).alias(out)).limit(0)
     x = F.array(*(F.col(c).cast("double") for c in features))
     at = rows.select(*ids, x.alias("__x"), F.explode(F.array(*roots)).alias("__at")).select(*ids, "__x", "__at.*")
-    for level, size in sorted(sizes.items()):
+    for n, (level, size) in enumerate(sorted(sizes.items())):
+        if n and n % LEVELS_PER_METHOD == 0:
+            at = at.coalesce(AS_THEY_ARE)
         inner = nodes.where((F.col("level") == level) & F.col("left").isNotNull()).select("tree", "node", "feature", "threshold", "left", "right")
         inner = F.broadcast(inner) if size <= BROADCAST_NODES else inner
         side = F.when(F.get("__x", F.col("feature")) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
