@@ -111,3 +111,8 @@ def test_deep_walk_is_compiled_in_parts(spark):
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(-?\d+)", text.getvalue())]
     assert min(sizes) > 0 and max(sizes) < 5000, sizes  # -1: not compiled at all; beyond 8000 the JVM interprets
     assert got == {str(i): float(min(i, 15)) for i in range(18)}
+
+
+def test_training_keeps_the_nodes_of_its_rows(stored):
+    """Else every level walks all rows down from the roots again."""
+    assert stored[1].getCacheNodeIds()
