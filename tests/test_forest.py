@@ -6,8 +6,10 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import functions as F
 
-from tilth.operators import forest, modelling
+from tilth.operators import forest, forest_fit, modelling
 from tilth.sources import sinks
 
 INPUTS = modelling.MOISTURE_FEATURES
@@ -116,3 +118,69 @@ def test_deep_walk_is_compiled_in_parts(spark):
 def test_training_keeps_the_nodes_of_its_rows(stored):
     """Else every level walks all rows down from the roots again."""
     assert stored[1].getCacheNodeIds()
+
+
+@pytest.mark.parametrize("local", [1 << 22, 150, 1])
+def test_binned_rows_give_the_trees_of_mllib(spark, monkeypatch, local):
+    """Grown in one task, partly by histograms, and by histograms down to the leaves; without bags both are exact."""
+    monkeypatch.setattr(forest_fit, "LOCAL_ROWS", local)
+    rows = table(spark, 900).withColumns({"lc": F.round("lc"), "op": F.lit(0.0)}).repartition(3)
+    trainer = RandomForestRegressor(numTrees=1, maxDepth=4, seed=42, featureSubsetStrategy="all", bootstrap=False)
+    assembled = modelling.select_features(rows, "ssm").select("features", "label").cache()
+    want = trainer.fit(assembled)
+    written = modelling.materialize(rows.select(F.array(*INPUTS).alias("x"), F.col("ssm").alias("label")))
+    model = modelling.fit_binned(trainer, written, 900)
+    # two splits that part a node's rows alike are one as good as the other, so rows are compared, not splits
+    both = model.setPredictionCol("got").transform(want.setPredictionCol("want").transform(assembled))
+    assert both.where("abs(got - want) > 1e-9").isEmpty() and both.select("want").distinct().count() > 9
+    assert (model.trees[0].numNodes, model.trees[0].depth) == (want.trees[0].numNodes, want.trees[0].depth)
+    first = lambda m: m.trees[0].toDebugString.split("\n")[1:4]
+    assert first(model) == first(want) and model.getMaxDepth() == 4 and model.numFeatures == len(INPUTS)
+
+
+def test_many_rows_are_not_held_as_objects(spark, monkeypatch, tmp_path):
+    """Beyond ``CACHED_ROWS`` MLlib's trainer sees two rows, for its settings; the forest is whole all the same."""
+    fit, seen = RandomForestRegressor.fit, []
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, rows: seen.append(rows.count()) or fit(self, rows))
+    monkeypatch.setattr(modelling, "CACHED_ROWS", 100)
+    monkeypatch.setattr(forest_fit, "LOCAL_ROWS", 200)
+    rows = table(spark, 2000, seed=5).repartition(3)
+    model = modelling.train_forest(rows, "ssm", num_trees=9, max_depth=6)
+    assert seen == [2]
+    path = str(tmp_path / "model")
+    sinks.write_model(model, path)
+    nodes = sinks.read_nodes(spark, path)
+    want = {r["obs_id"]: (r["ssm"], r["ssm_pred"]) for r in modelling.predict_holdout(model, rows, "ssm").collect()}
+    got = {r["obs_id"]: r["prediction"] for r in forest.walk(rows, nodes, INPUTS, ["obs_id"]).collect()}
+    assert all(abs(got[i] - p) < 1e-9 for i, (_, p) in want.items()) and len(got) == 2000
+    truth, predicted = np.array(list(want.values())).T
+    assert np.mean((truth - predicted) ** 2) < 0.2 * np.var(truth)
+    assert {r["depth"] for r in forest.forest_size(nodes).collect()} == {6}
+    # each tree has a bag of its own, and all rows of a node's bag go to its children
+    every = {(r["tree"], r["node"]): r for r in nodes.collect()}
+    roots = [every[t, 0]["n"] for t in range(9)]
+    assert len(set(roots)) > 5 and all(abs(n - 2000) < 250 for n in roots)
+    assert all(r["n"] == every[r["tree"], r["left"]]["n"] + every[r["tree"], r["right"]]["n"] for r in every.values() if r["left"])
+
+
+def test_leaves_that_agree_are_one_and_pure_nodes_are_not_split():
+    """Two bins of one feature with equal labels, parted by a third; the feature beside it says nothing."""
+    codes = np.array([[0, 0, 1, 1, 2, 2], [0, 1, 0, 1, 0, 1]], np.uint8)
+    y = np.array([1.0, 1.0, 1.0, 1.0, 5.0, 5.0])
+    grown = forest_fit.grow(codes, y, np.array([1.0, 2.0, 1.0, 1.0, 3.0, 1.0]), 4)
+    assert grown["feature"].tolist() == [0, -1, -1] and grown["cut"][0] == 1 and grown["w"].tolist() == [9.0, 5.0, 4.0]
+    # a split whose two leaves predict the same is taken back
+    tree = {"w": [4, 2, 2, 1, 1], "s": [8.0, 4.0, 4.0, 1.0, 3.0], "ss": [20.0, 8.0, 10.0, 1.0, 9.0], "feature": [0, -1, 1, -1, -1], "cut": [0, -1, 0, -1, -1], "gain": [0.1, -1, 1, -1, -1], "left": [1, -1, 3, -1, -1]}
+    tree = {c: np.array(v) for c, v in tree.items()}
+    assert forest_fit.in_order(tree)["left"].tolist() == [1, -1, 3, -1, -1]
+    agreeing = {**tree, "left": np.array([1, -1, -1, -1, -1])}
+    assert forest_fit.in_order(agreeing)["prediction"].tolist() == [2.0]
+
+
+def test_thresholds_are_those_of_mllib_and_rows_must_be_finite(spark):
+    assert forest_fit.candidates(np.array([1.0, 1.0, 2.0, 4.0]), 32).tolist() == [1.5, 3.0]
+    assert len(forest_fit.candidates(np.arange(1000.0), 32)) == 31
+    assert len(forest_fit.candidates(np.ones(5), 5)) == 0
+    rows = spark.createDataFrame([([1.0], 2.0), ([2.0], float("nan"))], "x array<double>, label double")
+    with pytest.raises(Exception, match="must be finite"):
+        forest_fit.binned(rows, [np.array([1.5])], 3, True, 42).collect()

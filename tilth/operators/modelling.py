@@ -5,19 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilth.operators.forest import walk
+from tilth.operators.forest_fit import learn, node_rows
 from tilth.schemas import require_columns
-from tilth.session import materialize
+from tilth.session import delete_at_end, materialize, scratch_path
 
 # Model inputs per target, and the forest's settings.
 MOISTURE_FEATURES = ("angle", "vvs", "s", "l", "year", "doy", "lc", "op")
 OTHER_FEATURES = ("vh", "vv", "angle", "rvi", "year", "doy", "lc", "op")
 NUM_TREES, MAX_DEPTH, SEED = 15, 15, 42
 TEST_FRACTION = 0.2
+#: Training rows that a cache of row objects, about 300 bytes each with their nodes, holds in a few gigabytes.
+CACHED_ROWS = 1 << 22
 
 
 def features_for(target: str) -> tuple[str, ...]:
@@ -104,9 +108,11 @@ def train_forest(
     max_depth: int = MAX_DEPTH,
     seed: int = SEED,
 ) -> RandomForestRegressionModel:
-    """Random forest over all features per split, on bootstrap samples.
+    """Random forest over all features per split, on bootstrap samples; runs jobs.
 
-    The node of each row is kept, so that no level walks the rows down from the roots again.
+    Up to ``CACHED_ROWS`` rows MLlib's trainer holds them in its cache and keeps the node of each,
+    so that no level walks them down from the roots again. More are learned from binned rows
+    (see ``operators/forest_fit.py``): the same rules, other draws of the same bags.
     """
     forest = RandomForestRegressor(
         numTrees=num_trees,
@@ -118,7 +124,23 @@ def train_forest(
         labelCol="label",
         cacheNodeIds=True,
     )
-    return forest.fit(select_features(train, target).select("features", "label"))
+    assembled = select_features(train, target).select("features", "label")
+    rows = materialize(assembled.select(vector_to_array("features").alias("x"), "label"), "training")
+    n = rows.count()
+    return forest.fit(assembled) if n <= CACHED_ROWS else fit_binned(forest, rows, n)
+
+
+def fit_binned(forest: RandomForestRegressor, rows: DataFrame, n: int) -> RandomForestRegressionModel:
+    """What ``forest`` learns from the ``n`` written rows (x, label); runs jobs.
+
+    The nodes are stored in MLlib's form, beside the settings of a model of two rows, and read as its model.
+    """
+    nodes, cuts = learn(rows, n, forest.getNumTrees(), forest.getMaxDepth(), forest.getSeed(), forest.getBootstrap())
+    path = scratch_path(rows.sparkSession, "forest")
+    forest.fit(rows.limit(2).select(array_to_vector("x").alias("features"), "label")).write().save(path)
+    delete_at_end(rows.sparkSession, path)
+    node_rows(rows.sparkSession, nodes, cuts).write.mode("overwrite").parquet(f"{path}/data")
+    return RandomForestRegressionModel.load(path)
 
 
 def predict_holdout(model: RandomForestRegressionModel, test: DataFrame, target: str) -> DataFrame:
@@ -128,8 +150,12 @@ def predict_holdout(model: RandomForestRegressionModel, test: DataFrame, target:
 
 
 def predict_nodes(nodes: DataFrame, test: DataFrame, target: str, ids: Sequence[str] = ("obs_id",)) -> DataFrame:
-    """As :func:`predict_holdout`, from a forest's node rows; ``ids`` tell rows apart. Runs jobs over the nodes."""
+    """As :func:`predict_holdout`, from a forest's node rows; ``ids`` tell rows apart.
+
+    Runs jobs over the nodes, and one that writes ``test``, which is walked and joined with its predictions.
+    """
     require_columns(test, [target.lower(), *features_for(target)], f"test table for {target!r}")
+    test = materialize(test, "test")
     scored = walk(test, nodes, features_for(target), ids, f"{target.lower()}_pred")
     return test.join(scored, on=list(ids))
 
